@@ -118,11 +118,19 @@ FIXTURES = {
 }
 
 
+def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. A file with fewer row groups than the session has cores is dealt
+    out to all of them; a large table is read as it lies."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One ads table shaped from the test tables in a folder."""
     configure(spark, **SMALL_FILES)
     sql = FIXTURES[name]
     for source in SOURCES:
         if re.search(rf"\b{source}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{source}.parquet").createOrReplaceTempView(source)
+            read_source(spark, sf_dir, source).createOrReplaceTempView(source)
     return spark.sql(sql)

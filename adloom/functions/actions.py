@@ -12,8 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adloom.functions.numbers import count_or_zero, number_or_zero
-
 # Optimisation goal -> action type that counts as its result.
 GOAL_ACTIONS = {
     "REACH": "reach",
@@ -68,7 +66,7 @@ def parse_actions(actions: Column, dtype: T.DataType) -> Column:
     if not isinstance(dtype, T.StringType):
         return empty
 
-    text = F.btrim(F.translate(actions, "'", '"'), F.lit(JSON_BLANKS))
+    text = F.btrim(F.replace(actions, F.lit("'"), F.lit('"')), F.lit(JSON_BLANKS))
     is_list = text.startswith("[") & text.endswith("]")
     mixed = F.transform(
         F.from_json(text, "array<variant>"),
@@ -113,11 +111,11 @@ def result_position(actions: Column, target: Column) -> Column:
     )
 
 
-def result_value(actions: Column, target: Column, position: Column, impressions: Column) -> Column:
-    chosen = F.when(target.isin(*DELIVERY), impressions).otherwise(
+def result_text(actions: Column, target: Column, position: Column, impressions: Column) -> Column:
+    """Text of the result: impressions for a delivery goal, else the matched action's value."""
+    return F.when(target.isin(*DELIVERY), impressions).otherwise(
         F.get(actions["value"], position - 1)
     )
-    return number_or_zero(chosen)
 
 
 def result_label(
@@ -133,9 +131,9 @@ def result_label(
     )
 
 
-def last_action_count(actions: Column, name: str) -> Column:
-    """Value of the last action of a type as a whole number, 0 where absent or unreadable."""
+def last_action_text(actions: Column, name: str) -> Column:
+    """Value of the last action of a type, null where there is none."""
     from_end = F.nullif(
         F.array_position(F.reverse(actions["action_type"]), F.lit(name)), F.lit(0)
     ).cast("int")
-    return count_or_zero(F.get(actions["value"], F.size(actions) - from_end))
+    return F.get(actions["value"], F.size(actions) - from_end)

@@ -61,7 +61,9 @@ def status_icon(status: Column) -> Column:
 
 
 def bare_account_id(account_id: Column) -> Column:
-    return F.regexp_replace(account_id, f"^{ACCOUNT_PREFIX}", "")
+    """The id without its prefix: sources disagree on it, and joins need one form."""
+    prefixed = account_id.startswith(ACCOUNT_PREFIX)
+    return F.when(prefixed, F.substring(account_id, len(ACCOUNT_PREFIX) + 1, F.length(account_id))).otherwise(account_id)
 
 
 def error_class(http_status: Column, error_code: Column) -> Column:

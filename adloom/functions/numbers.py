@@ -9,26 +9,20 @@ from pyspark.sql import functions as F
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def to_number(text: Column) -> Column:
-    """Double, or null where the text is no number.
-
-    Whole numbers are tried first: that cast needs no regular expression and most
-    metrics are whole.
-    """
-    text = text.cast("string")
-    whole = text.try_cast("bigint").cast("double")
-    return F.coalesce(whole, F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")))
+def decimal_number(text: Column) -> Column:
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def number_or_zero(text: Column) -> Column:
-    return F.coalesce(to_number(text), F.lit(0.0))
+    """Double; 0 where the text is no number. ``text`` should be a plain column: it is
+    read more than once."""
+    return F.coalesce(decimal_number(text.cast("string")), F.lit(0.0))
 
 
 def count_or_zero(text: Column) -> Column:
-    """Whole number, truncated toward zero; 0 where unreadable or beyond 64 bits."""
     text = text.cast("string")
     return F.coalesce(
         text.try_cast("bigint"),
-        to_number(text).try_cast("bigint"),
+        decimal_number(text).try_cast("bigint"),
         F.lit(0).cast("bigint"),
     )

@@ -9,11 +9,11 @@ from adloom.functions.actions import (
     MESSAGING,
     PURCHASE,
     goal_action,
-    last_action_count,
+    last_action_text,
     parse_actions,
     result_label,
     result_position,
-    result_value,
+    result_text,
 )
 from adloom.functions.dates import to_day
 from adloom.functions.numbers import count_or_zero, number_or_zero
@@ -36,31 +36,28 @@ def with_actions(df: DataFrame) -> DataFrame:
 
 def with_result(df: DataFrame, level: str) -> DataFrame:
     """Add ``result`` and ``result_type`` to rows with parsed actions."""
-    actions = F.col("actions")
+    actions, target, position = F.col("actions"), F.col("_target"), F.col("_position")
     return (
         df.withColumn("_target", goal_action(_column_or_null(df, "optimization_goal")))
-        .withColumn("_position", result_position(actions, F.col("_target")))
+        .withColumn("_position", result_position(actions, target))
         .withColumns(
             {
-                "result": result_value(
-                    actions, F.col("_target"), F.col("_position"), _column_or_null(df, "impressions")
-                ),
-                "result_type": result_label(
-                    actions, F.col("_target"), F.col("_position"), REACH_LABEL[level]
+                "result": result_text(
+                    actions, target, position, _column_or_null(df, "impressions")
                 ),
+                "result_type": result_label(actions, target, position, REACH_LABEL[level]),
             }
         )
+        .withColumn("result", number_or_zero(F.col("result")))
         .drop("_target", "_position")
     )
 
 
 def with_action_metrics(df: DataFrame) -> DataFrame:
+    metrics = {"messaging_conversations_started": MESSAGING, "purchase": PURCHASE}
     return df.withColumns(
-        {
-            "messaging_conversations_started": last_action_count(F.col("actions"), MESSAGING),
-            "purchase": last_action_count(F.col("actions"), PURCHASE),
-        }
-    )
+        {name: last_action_text(F.col("actions"), action) for name, action in metrics.items()}
+    ).withColumns({name: count_or_zero(F.col(name)) for name in metrics})
 
 
 def with_numbers(df: DataFrame) -> DataFrame:
