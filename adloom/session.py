@@ -15,6 +15,15 @@ SETTINGS = {
 }
 
 
+# For tables of many terabytes. Adaptive execution joins shuffle partitions but never
+# makes more than it starts with, so it starts with many; about 128 MB go to a task.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+}
+
+
 def configure(spark: SparkSession, **options: str) -> SparkSession:
     """Apply the settings, and any others, to a session that already runs."""
     for key, value in {**SETTINGS, **options}.items():
@@ -23,10 +32,12 @@ def configure(spark: SparkSession, **options: str) -> SparkSession:
 
 
 def build_session(app: str = "adloom", master: str | None = None, **options: str) -> SparkSession:
+    """A session with the settings above; without a local master, also the cluster's."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **options}.items():
+    cluster = {} if (master or "").startswith("local") else CLUSTER_SETTINGS
+    for key, value in {**SETTINGS, **cluster, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
