@@ -121,16 +121,34 @@ def load(
 
     scope = [*shard, *(k for k in keys if k not in shard)]
     target = read_path(spark, path, df.schema)
+    by_partition = bool(partition) and set(partition) <= set(scope)
+    if by_partition:
+        target = _near(target, df, partition)
     deleted = matching_count(target, df, scope).first()["matched"]
     if set(scope) == set(partition):
         written = _replace_partitions(df, path, scope, partition, cluster)
-    elif partition and set(partition) <= set(scope):
+    elif by_partition:
         written = _rewrite_partitions(df, target, path, scope, partition, cluster)
     else:
         written = _rewrite_table(df, target, path, scope, partition, cluster)
     return Audit(path, mode, rows_in=written, rows_deleted=deleted, rows_written=written)
 
 
+def _near(target: DataFrame, df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Target rows within the new rows' bounds of every partition column. A reload of
+    some days or one shard then lists and opens only their folders."""
+    lows, highs = (df.agg(*(f(c) for c in partition)).first() for f in (F.min, F.max))
+    return target.where(
+        reduce(
+            and_,
+            (
+                F.col(c).isNull() | F.col(c).between(F.lit(low), F.lit(high))
+                for c, low, high in zip(partition, lows, highs)
+            ),
+        )
+    )
+
+
 def _null_in(columns: Sequence[str]):
     return reduce(or_, (F.col(c).isNull() for c in columns))
 

@@ -19,7 +19,7 @@ from adloom.operators.worklists import (
 )
 from adloom.schemas import TABLES
 from adloom.session import work_folder
-from adloom.sinks.load import Audit, load, load_table, register_tables, stage
+from adloom.sinks.load import Audit, _near, load, load_table, register_tables, stage
 from adloom.sources.shards import discover_shards, read_shard_files, union_shards
 from adloom.sources.tables import read_path, read_table
 
@@ -179,6 +179,17 @@ def test_load_checks_before_writing(spark):
     assert read_path(spark, path, df.schema).count() == 12
 
 
+def test_only_near_partitions_are_read(spark, rows, tmp_path):
+    data = [("a", 1), ("b", 2), ("c", 3), (None, 4)]
+    table = spark.createDataFrame(data, "p string, v int")
+    load(table, str(tmp_path / "t"), "insert", partition=["p"])
+    target = read_path(spark, str(tmp_path / "t"), table.schema)
+    near = _near(target, table.where("p in ('b', 'c')"), ["p"])
+    assert rows(near, "p", "v") == sorted(data[1:], key=repr)
+    assert "PartitionFilters: [(isnull(p" in plan(near)
+    assert rows(_near(target, table.where("p is null"), ["p"]), "p", "v") == [(None, 4)]
+
+
 def fact(account, day, campaign, clicks, shard="main"):
     return (account, campaign, 1, clicks, 0.5, 0.0, "unknown", 0, 0, 2024, "2024-01", "mkt", shard, day)
 
