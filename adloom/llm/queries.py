@@ -12,6 +12,7 @@ from adloom.llm.common import table
 from adloom.llm.packing import pack_documents
 from adloom.llm.sharding import assign_shards
 from adloom.llm.simhash import near_duplicates
+from adloom.llm.substrings import without_repeats
 from adloom.llm.urlfilter import judge_urls
 from adloom.llm.warc import read_archive, write_archive
 from adloom.session import work_folder
@@ -55,6 +56,10 @@ def op7_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_best_two_fit": op6_best_two_fit,
     "op7_golay_simhash": op7_golay_simhash,
+    "op9_suffix_trees": op9_suffix_trees,
     "op10_url_digests": op10_url_digests,
 }
 
@@ -81,6 +87,28 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
   case when payload_bytes >= 100 and page_id <> first_page then 'revisit' else 'response' end as record_type,
   case when payload_bytes >= 100 and page_id <> first_page then first_page end as refers_to
 from f
+""",
+    "op9_suffix_trees": r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), s as (
+  select doc_id, unnest(generate_series(1, len(words) - 49)) as k, words from w where len(words) >= 50
+), h as (
+  select doc_id, k, array_to_string(words[k:k + 49], ' ') as win from s
+), f as (
+  select win, min(doc_id) as first_doc from h group by win
+), r as (
+  select h.doc_id, list(h.k) as ks from h join f using (win) where h.doc_id > f.first_doc group by h.doc_id
+), c as (
+  select r.doc_id, list(distinct j) as gone
+  from (select doc_id, unnest(ks) as k from r) r, lateral (select unnest(generate_series(k, k + 49)) as j) group by r.doc_id
+), o as (
+  select w.doc_id, len(w.words) as n_words, coalesce(len(c.gone), 0) as n_removed,
+    case when c.gone is null then w.words
+      else list_filter(w.words, lambda x, i: not list_contains(c.gone, i)) end as kept
+  from w left join c using (doc_id)
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from o
 """,
     "op10_url_digests": r"""
 with u as (
