@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.common import table
+from adloom.llm.decontamination import leaked_pairs
 from adloom.llm.packing import pack_documents
 from adloom.llm.sharding import assign_shards
 from adloom.llm.simhash import near_duplicates
 from adloom.llm.substrings import without_repeats
+from adloom.llm.toxicity import fit, held_out, score
 from adloom.llm.urlfilter import judge_urls
 from adloom.llm.warc import read_archive, write_archive
 from adloom.session import work_folder
@@ -37,6 +39,21 @@ def tokenizer() -> tuple[str, str]:
     return str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = write_archive(table(spark, sf_dir, "pages"), work_folder(spark, "archive"))
     return read_archive(frames).select(
@@ -66,6 +83,8 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_compression_toxicity": op1_compression_toxicity,
+    "op4_string_tiling": op4_string_tiling,
     "op2_seekable_warc": op2_seekable_warc,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_best_two_fit": op6_best_two_fit,

@@ -83,3 +83,14 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def sliding_max(x: np.ndarray, width: int) -> np.ndarray:
     return _sliding(x, width, np.maximum, np.iinfo(x.dtype).min)
+
+
+#: ASCII letters and digits stay, other ASCII bytes part words, bytes beyond ASCII stay.
+_WORD_BYTES = bytes(
+    b if b >= 128 or chr(b).isalnum() else 0x20 for b in range(256)
+)
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Words in lower case, without punctuation."""
+    return (text or "").lower().encode().translate(_WORD_BYTES).split()
