@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from adloom.llm.common import table
 from adloom.llm.decontamination import leaked_pairs
 from adloom.llm.packing import pack_documents
+from adloom.llm.secrets import count_of, find_secrets, spans_text
 from adloom.llm.sharding import assign_shards
 from adloom.llm.simhash import near_duplicates
+from adloom.llm.sketches import fingerprints
 from adloom.llm.substrings import without_repeats
 from adloom.llm.toxicity import fit, held_out, score
 from adloom.llm.urlfilter import judge_urls
@@ -54,6 +56,10 @@ def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = write_archive(table(spark, sf_dir, "pages"), work_folder(spark, "archive"))
     return read_archive(frames).select(
@@ -73,6 +79,19 @@ def op7_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        count_of(base, "assign").alias("n_assign"),
+        count_of(base, "access").alias("n_access"),
+        count_of(base, "hex").alias("n_hex"),
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -89,6 +108,8 @@ QUERIES: dict[str, Query] = {
     "op5_hilbert_shards": op5_hilbert_shards,
     "op6_best_two_fit": op6_best_two_fit,
     "op7_golay_simhash": op7_golay_simhash,
+    "op3_scaled_sketch": op3_scaled_sketch,
+    "op8_randomness_battery": op8_randomness_battery,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_url_digests": op10_url_digests,
 }
