@@ -64,7 +64,8 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id and ``fp``, the fingerprint as a signed number."""
+    """One row per document: doc_id, ``text_key`` (a hash that with doc_id tells documents
+    apart) and ``fp``, the fingerprint as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,12 +73,19 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],
+                    "text_key": batch["text_key"],
                     "fp": pa.array(np.array(values, np.uint64).view(np.int64)),
                 }
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return docs.select("doc_id", text_key(F.col("text")), "text").mapInArrow(
+        run, f"doc_id {kind}, text_key bigint, fp bigint"
+    )
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key")
 
 
 def _remainder(word: np.ndarray) -> np.ndarray:
@@ -238,24 +246,47 @@ def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             )
 
 
+def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, fp) of all documents, and (fp, root) of all fingerprints."""
+    marked = staged(fingerprints(docs, words), "fingerprints")
+    distinct = staged(marked.select("fp").distinct(), "distinct-fingerprints")
+    pairs = staged(links(distinct), "fingerprint-links")
+    rooted = components(pairs, distinct.select(F.col("fp").alias("node")))
+    return marked, staged(rooted.select(F.col("node").alias("fp"), "root"), "classes")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per document its fingerprint (16 hex digits) and component: the smallest doc_id
     reachable over links, its own included."""
-    marked = staged(fingerprints(docs, words), "fingerprints")
-    classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    pairs = staged(links(classes), "fingerprint-links")
-    rooted = staged(
-        components(pairs, classes.select(F.col("fp").alias("node"))).join(
-            classes.select(F.col("fp").alias("node"), "first"), "node"
-        ),
-        "rooted",
-    )
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = staged(
-        rooted.join(names, "root").select(F.col("node").alias("fp"), "component_id"), "members"
-    )
-    return marked.join(member, "fp").select(
+    marked, classes = _classes(docs, words)
+    # smallest ids by fingerprint first: copies are one row before the roots are joined
+    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first")).join(classes, "fp")
+    names = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
+    members = staged(classes.join(names, "root").select("fp", "component_id"), "members")
+    return marked.join(members, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One document of each component: that with the smallest doc_id, where several share
+    it the one with the smallest text key, and of rows that repeat it one."""
+    marked, classes = _classes(docs, words)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    firsts = marked.groupBy("fp").agg(F.min(order).alias("first")).join(classes, "fp")
+    kept = staged(
+        firsts.groupBy("root").agg(F.min("first").alias("first")).select(
+            F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key")
+        ),
+        "survivors",
+    )
+    rows = docs.withColumn("_own", text_key(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key"))
+    return (
+        rows.join(kept, same, "left_semi")
+        .groupBy("doc_id", "_own")
+        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        .select("_row.*")
+    )
