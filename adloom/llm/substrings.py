@@ -43,7 +43,7 @@ from adloom.operators.sizes import broadcast_if_small
 WINDOW = 50
 GRAM = 10
 DEPTHS = (10, 50)
-GROUP_ROWS = 1_000_000  # suffixes of a group; about 40 MB
+GROUP_ROWS = 20_000  # suffixes of a group; under 1 MB
 
 
 def _anchors(runs: RunHashes, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
