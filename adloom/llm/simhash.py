@@ -191,24 +191,57 @@ def _first_kind(diff: Column) -> Column:
     return first
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints, a < b, with at most four differing bits.
+def _apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
+
 
-    A pair is kept only under the first kind of key it meets by, inside the join, so the
-    join puts out true links a few times at most; both sides come straight from the key
-    shuffle, which lets adaptive execution split a key that many fingerprints have.
+def links(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints with at most four differing bits, a < b, that
+    connect all fingerprints so linked, though not each pair of a crowd directly.
+
+    Keys that only one fingerprint has are dropped by an aggregation. Of the others, the
+    smallest fingerprint is the pivot: those linked to it are connected through it and need
+    no comparing with one another, so a crowd of near copies gives a star and not all its
+    pairs. Whatever is not linked to the pivot is compared with the rest of its key, under
+    the first kind of key a pair meets by.
     """
     keys = staged(golay_keys(distinct), "golay-keys")
-    left = keys.select("key", F.col("fp").alias("a"))
-    right = keys.select(F.col("key").alias("_key"), F.col("fp").alias("b"))
-    diff = F.col("a").bitwiseXOR(F.col("b"))
+    shared = staged(
+        keys.groupBy("key")
+        .agg(F.min("fp").alias("pivot"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .drop("_n"),
+        "shared-keys",
+    )
+    linked = _apart(F.col("fp"), F.col("pivot")) <= MAX_BITS
+    crowd = staged(keys.join(shared, "key").withColumn("linked", linked), "crowds")
+    stars = crowd.where("linked and fp > pivot").select(
+        F.col("pivot").alias("a"), F.col("fp").alias("b")
+    )
+    left = crowd.select("key", F.col("fp").alias("x"), F.col("linked").alias("_linked"))
+    right = crowd.where("not linked").select(F.col("key").alias("_key"), F.col("fp").alias("y"))
+    diff = F.col("x").bitwiseXOR(F.col("y"))
     near = (
         (F.col("key") == F.col("_key"))
-        & (F.col("a") < F.col("b"))
+        & (F.col("_linked") | (F.col("x") < F.col("y")))
         & (F.bit_count(diff) <= MAX_BITS)
         & (F.shiftright("key", 40) == _first_kind(diff))
     )
-    return left.join(right, near).select("a", "b").distinct()
+    rest = left.join(right, near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return stars.unionAll(rest).distinct()
+
+
+def thinned(pairs: DataFrame) -> DataFrame:
+    """Fewer pairs that connect the same nodes: each node's smaller neighbours, and the
+    node, are tied to the smallest of them. A clique becomes a star."""
+    smallest = pairs.groupBy("b").agg(F.min("a").alias("least"))
+    near = pairs.join(smallest, "b")
+    return (
+        near.where("a > least")
+        .select(F.col("least").alias("a"), F.col("a").alias("b"))
+        .unionAll(smallest.select(F.col("least").alias("a"), "b"))
+        .distinct()
+    )
 
 
 def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -250,7 +283,7 @@ def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_key, fp) of all documents, and (fp, root) of all fingerprints."""
     marked = staged(fingerprints(docs, words), "fingerprints")
     distinct = staged(marked.select("fp").distinct(), "distinct-fingerprints")
-    pairs = staged(links(distinct), "fingerprint-links")
+    pairs = staged(thinned(staged(links(distinct), "fingerprint-links")), "thinned-links")
     rooted = components(pairs, distinct.select(F.col("fp").alias("node")))
     return marked, staged(rooted.select(F.col("node").alias("fp"), "root"), "classes")
 
