@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.common import staged
+from adloom.llm.common import shuffle_partitions, staged
+from adloom.operators.sizes import broadcast_if_small
 
 WORDS = 4
 SEED = 42
@@ -164,7 +165,9 @@ def golay_keys(distinct: DataFrame) -> DataFrame:
                 rows, keys = _keys(part, table)
                 yield pa.record_batch({"key": pa.array(keys), "fp": pa.array(part[rows])})
 
-    return distinct.select("fp").mapInArrow(run, "key bigint, fp bigint")
+    # a fingerprint makes a hundred rows, so the few megabytes of them are spread first
+    spread = distinct.select("fp").repartition(shuffle_partitions(distinct.sparkSession), "fp")
+    return spread.mapInArrow(run, "key bigint, fp bigint")
 
 
 def _first_kind(diff: Column) -> Column:
@@ -214,7 +217,7 @@ def links(distinct: DataFrame) -> DataFrame:
         "shared-keys",
     )
     linked = _apart(F.col("fp"), F.col("pivot")) <= MAX_BITS
-    crowd = staged(keys.join(shared, "key").withColumn("linked", linked), "crowds")
+    crowd = staged(keys.join(broadcast_if_small(shared), "key").withColumn("linked", linked), "crowds")
     stars = crowd.where("linked and fp > pivot").select(
         F.col("pivot").alias("a"), F.col("fp").alias("b")
     )
