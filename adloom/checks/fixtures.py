@@ -8,14 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adloom.session import configure
 
-# The test tables put thousands of day folders into a few megabytes. Adaptive execution
-# would let one task write them all and would list each folder in a task of its own;
-# with these every core takes a share.
-SMALL_FILES = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
-}
-
 SOURCES = ("lineitem", "orders", "customer", "supplier", "part", "events")
 
 FX_AD_INSIGHTS = r"""
@@ -118,19 +110,11 @@ FIXTURES = {
 }
 
 
-def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A file with fewer row groups than the session has cores is dealt
-    out to all of them; a large table is read as it lies."""
-    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One ads table shaped from the test tables in a folder."""
-    configure(spark, **SMALL_FILES)
+    configure(spark)
     sql = FIXTURES[name]
     for source in SOURCES:
         if re.search(rf"\b{source}\b", sql):
-            read_source(spark, sf_dir, source).createOrReplaceTempView(source)
+            spark.read.parquet(f"{sf_dir}/{source}.parquet").createOrReplaceTempView(source)
     return spark.sql(sql)

@@ -181,8 +181,8 @@ ADS_IN_ATTEMPTS = """
     case when a.attempt = q.attempt then campaign_id end as campaign_id,
     case when a.attempt = q.attempt then status end as status
   from (select r.ad_id, unnest(generate_series(1, coalesce(a.attempt, 3))) as attempt
-      from requested r left join (select * from answered where attempt <= 3) a using (ad_id)) q
-    left join (select * from answered where attempt <= 3) a using (ad_id)"""
+      from requested r left join (select * from answered) a using (ad_id)) q
+    left join (select * from answered) a using (ad_id)"""
 
 # The shard of the pipeline queries: one configured account.
 PIPELINE_ACCOUNT = {"account_id": "'7'", "account_name": "'Account 7'"}
@@ -349,22 +349,20 @@ ORACLES: dict[str, str] = {
         ADS_IN_ATTEMPTS, requested=REQUESTED_ADS, answered=ANSWERED_ADS
     ),
     "attempts_union": with_ctes(
-        """select r.ad_id, a.ad_name, a.status from requested r
-            left join (select * from answered where attempt = 1) a using (ad_id)
-          union all
-          select r.ad_id, a.ad_name, a.status
-          from (select ad_id from requested where ad_id not in
-              (select ad_id from answered where attempt = 1)) r
-            left join (select * from answered where attempt = 2) a using (ad_id)""",
+        """select r.ad_id, case when a.attempt = r.n then a.ad_name end as ad_name,
+            case when a.attempt = r.n then a.status end as status
+          from (select ad_id, unnest(generate_series(1, 4)) as n from requested) r
+            left join answered a using (ad_id)
+          where a.attempt is null or a.attempt >= r.n""",
         requested=REQUESTED_ADS, answered=ANSWERED_ADS,
     ),
     "failed_ids": with_ctes(
-        "select ad_id from requested where ad_id not in (select ad_id from answered where attempt <= 3)",
+        "select ad_id from requested where ad_id not in (select ad_id from answered)",
         requested=REQUESTED_ADS, answered=ANSWERED_ADS,
     ),
     "coverage": with_ctes(
         """select count(*) as requested, count(a.ad_id) as received from requested
-          left join (select distinct ad_id from answered where attempt <= 3) a using (ad_id)""",
+          left join (select distinct ad_id from answered) a using (ad_id)""",
         requested=REQUESTED_ADS, answered=ANSWERED_ADS,
     ),
     "calendar": with_ctes(

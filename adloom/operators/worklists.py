@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: how often a failed id is asked for.
+# Fixed value: how often an id that never answers is asked for.
 ATTEMPTS = 3
 
 
@@ -29,14 +29,13 @@ def fetched_in_attempts(
     """All rows of a fetch that asks again for the ids that failed.
 
     ``received`` has an ``attempt`` column from 1, one row per id and attempt. An id
-    first answered in attempt n leaves n-1 placeholders and its answer; one never
-    answered leaves a placeholder per attempt. One join, whatever the attempts.
+    first answered in attempt n leaves n-1 placeholders and its answer, however late n
+    is; one never answered leaves ``attempts`` placeholders. One join, whatever the attempts.
     """
     on = list(on)
     fields = [c for c in received.columns if c not in (*on, "attempt")]
     answer = (
-        received.where(F.col("attempt").between(1, attempts))
-        .groupBy(*on)
+        received.groupBy(*on)
         .agg(F.min(F.struct("attempt", *fields)).alias("_answer"))
     )
     tried = requested.join(answer, on, "left").withColumn(

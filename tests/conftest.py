@@ -16,6 +16,9 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # thousands of day folders in a few megabytes: let every core write and list some
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
