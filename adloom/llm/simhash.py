@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import shuffle_partitions, staged
+from adloom.llm.graph import components, thinned
+from adloom.llm.similar import similar_texts
 from adloom.operators.sizes import broadcast_if_small
 
 WORDS = 4
@@ -234,59 +236,30 @@ def links(distinct: DataFrame) -> DataFrame:
     return stars.unionAll(rest).distinct()
 
 
-def thinned(pairs: DataFrame) -> DataFrame:
-    """Fewer pairs that connect the same nodes: each node's smaller neighbours, and the
-    node, are tied to the smallest of them. A clique becomes a star."""
-    smallest = pairs.groupBy("b").agg(F.min("a").alias("least"))
-    near = pairs.join(smallest, "b")
+def _of_fingerprints(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """Pairs of text keys as pairs of the texts' fingerprints, those that differ."""
+    own = marked.select("text_key", "fp").distinct()
+    one = own.select(F.col("text_key").alias("a"), F.col("fp").alias("x"))
+    other = own.select(F.col("text_key").alias("b"), F.col("fp").alias("y"))
     return (
-        near.where("a > least")
-        .select(F.col("least").alias("a"), F.col("a").alias("b"))
-        .unionAll(smallest.select(F.col("least").alias("a"), "b"))
+        texts.join(one, "a")
+        .join(other, "b")
+        .where("x <> y")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
 
 
-def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, root) of every node, root being the smallest node it reaches by pairs.
-
-    Each round a node takes the smallest root among its own and its neighbours', then its
-    root's root, so paths shorten by half; the rounds are written and end when no root
-    changes. Only linked nodes take part.
-    """
-    both = staged(
-        pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(
-            pairs.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        ),
-        "links",
-    )
-    roots = staged(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), "roots")
-    while True:
-        other = roots.select(F.col("node").alias("other"), F.col("root").alias("_other"))
-        best = both.join(other, "other").groupBy("node").agg(F.min("_other").alias("_best"))
-        nearer = roots.join(best, "node").select(
-            "node", "root", F.least("root", "_best").alias("_near")
-        )
-        jump = roots.select(F.col("node").alias("_near"), F.col("root").alias("_far"))
-        following = staged(
-            nearer.join(jump, "_near").select(
-                "node", F.least("_near", "_far").alias("root"), F.col("root").alias("_old")
-            ),
-            "roots",
-        )
-        changed = not following.where("root <> _old").isEmpty()
-        roots = following.drop("_old")
-        if not changed:
-            return nodes.join(roots, "node", "left").select(
-                "node", F.coalesce("root", "node").alias("root")
-            )
-
-
-def _classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_key, fp) of all documents, and (fp, root) of all fingerprints."""
+def _classes(docs: DataFrame, words: int, shingles: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, fp) of all documents, and (fp, root) of all fingerprints.
+    With ``shingles``, texts that share most of their shingles are linked too."""
     marked = staged(fingerprints(docs, words), "fingerprints")
     distinct = staged(marked.select("fp").distinct(), "distinct-fingerprints")
-    pairs = staged(thinned(staged(links(distinct), "fingerprint-links")), "thinned-links")
+    linked = staged(links(distinct), "fingerprint-links")
+    if shingles:
+        texts = staged(similar_texts(docs, text_key(F.col("text"))), "similar-texts")
+        linked = linked.unionAll(_of_fingerprints(texts, marked)).distinct()
+    pairs = staged(thinned(linked), "thinned-links")
     rooted = components(pairs, distinct.select(F.col("fp").alias("node")))
     return marked, staged(rooted.select(F.col("node").alias("fp"), "root"), "classes")
 
@@ -308,8 +281,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One document of each component: that with the smallest doc_id, where several share
-    it the one with the smallest text key, and of rows that repeat it one."""
-    marked, classes = _classes(docs, words)
+    it the one with the smallest text key, and of rows that repeat it one. Components take
+    the links of fingerprints and those of texts whose five-word shingles overlap by 0.8."""
+    marked, classes = _classes(docs, words, shingles=True)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     firsts = marked.groupBy("fp").agg(F.min(order).alias("first")).join(classes, "fp")
     kept = staged(

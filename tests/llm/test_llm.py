@@ -12,7 +12,9 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from adloom.llm import decontamination, packing, secrets, sharding, simhash, sketches, toxicity
+from pyspark.sql import functions as F
+
+from adloom.llm import decontamination, packing, secrets, sharding, similar, simhash, sketches, toxicity
 from adloom.llm.queries import ORACLES, QUERIES, tokenizer
 from adloom.llm.substrings import without_repeats
 from adloom.llm.urlfilter import judge_urls
@@ -188,6 +190,26 @@ def test_near_duplicates_edge_cases(spark, docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_of_like_shingles_are_near_duplicates(spark, docs):
+    base = [f"v{i}" for i in range(200)]
+
+    def changed(n):  # each changed word changes five of the 196 shingles
+        return " ".join("x" if i % 20 == 10 and i < 20 * n else w for i, w in enumerate(base))
+
+    texts = [(1, changed(0)), (2, changed(3)), (3, changed(9)), (4, changed(0).upper()), (5, "v1 v2"), (6, None)]
+    rows = spark.createDataFrame([(i, t, 1) for i, t in texts], "doc_id bigint, text string, node int")
+    # 1 and 2 share 181 of 211 shingles, 2 and 3 166 of 226
+    kept = {r["doc_id"] for r in simhash.without_near_duplicates(rows).collect()}
+    assert kept == {1, 3, 5, 6}
+    key = simhash.text_key(F.col("text"))
+    pairs = similar.similar_texts(rows, key)
+    linked = pairs.select(F.explode(F.array("a", "b"))).distinct()
+    assert linked.count() == 3  # the texts of 1, 2 and 4
+    assert similar.similar_texts(docs.limit(0), key).count() == 0
+    found = simhash.without_near_duplicates(docs)
+    assert found.count() == 7 and found.columns == docs.columns
+
+
 def test_repeats(spark, docs):
     seen, want = defaultdict(lambda: 1 << 62), []
     for i, t in TEXTS:
