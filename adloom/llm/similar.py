@@ -3,7 +3,9 @@
 SimHash at four of 64 bits finds few of the texts whose five-word shingles overlap by 0.8
 (about ten bits differ there), so the pipeline adds these links to it. Candidates come from
 bands of minimal hashes: two texts at a likeness of 0.8 share one of 32 bands of eight with
-probability 0.997. Every candidate is verified on the full sets of shingle hashes.
+probability 0.997. Every candidate is verified on the full sets of shingle hashes, those of
+large groups after a look at four bits of each of the 256 minimal hashes: two texts at 0.8
+differ in more than these may with probability 0.0002, and less so the more alike they are.
 
 Texts are compared in lower case (A-Z) by words between blanks. A text with fewer words
 than a shingle, or none, has no links here. Copies of a text are one node, its ``text_key``;
@@ -12,6 +14,7 @@ the node of a null text is that of an empty one. An empty table gives no links.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,10 @@ WORDS = 5
 LIKENESS = 0.8
 BANDS, ROWS = 32, 8
 CHUNK = 1 << 12  # shingles hashed at a time
+SKETCH_BITS = 4  # of each minimal hash
+PER_LONG = 64 // SKETCH_BITS
+CUT = 256  # members of a band that one task compares with the others
+DEVIATIONS = 3.5  # by which a sketch may fall short of the likeness
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -46,30 +53,66 @@ class Shingles:
         return np.unique(RunHashes(hashes_of(parts, self.known), self.powers).of(self.words))
 
 
-def _band_keys(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A key per band: a hash of the band's number and of its minimal hashes."""
+def _draw() -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of the hash functions, the same in every task."""
+    draw = np.random.default_rng(0)
+    factors = draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def _least(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The minimal hash of a set by every function."""
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), CHUNK):
         part = shingles[at : at + CHUNK, None] * factors[None, :] + offsets[None, :]
         np.minimum(least, part.min(axis=0), out=least)
+    return least
+
+
+def _band_keys(least: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """A key per band: a hash of the band's number and of its minimal hashes."""
     bands = mixed(least * factors[::-1]).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
     return mixed(bands + np.arange(BANDS, dtype=np.uint64))
 
 
+def _sketch(least: np.ndarray) -> np.ndarray:
+    """The last bits of every minimal hash, packed."""
+    bits = (mixed(least) & np.uint64((1 << SKETCH_BITS) - 1)).reshape(-1, PER_LONG)
+    places = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(SKETCH_BITS)
+    return np.bitwise_or.reduce(bits << places, axis=1).view(np.int64)
+
+
+def _differing(x: Column, y: Column) -> Column:
+    """How many of the minimal hashes two sketches differ in."""
+    ones = F.lit(int("1" * PER_LONG, 1 << SKETCH_BITS))
+
+    def count(a: Column, b: Column) -> Column:
+        bits = a.bitwiseXOR(b)
+        for by in (1, 2):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, by))
+        return F.bit_count(bits.bitwiseAND(ones))
+
+    # sixteen counts written out would be a method too large for the JVM to compile
+    return F.aggregate(F.zip_with(x, y, count), F.lit(0), lambda total, n: total + n)
+
+
+def _most_differing(likeness: float) -> int:
+    n, chance = BANDS * ROWS, (1 - likeness) * (1 - 2.0**-SKETCH_BITS)
+    return math.ceil(n * chance + DEVIATIONS * math.sqrt(n * chance * (1 - chance)))
+
+
 def band_keys(texts: DataFrame, words: int) -> DataFrame:
     """(key, node) rows: every text that has shingles in each of its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
-        draw = np.random.default_rng(0)
-        factors = draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-        offsets = draw.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+        factors, offsets = _draw()
         for batch in batches:
             keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for node, text in zip(batch["node"].to_numpy(), batch["text"]):
                 found = shingles.of(text.as_py())
                 if len(found):
-                    keys.append(_band_keys(found, factors, offsets))
+                    keys.append(_band_keys(_least(found, factors, offsets), factors))
                     nodes.append(np.full(BANDS, node))
             yield pa.record_batch(
                 {"key": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes)}
@@ -79,13 +122,24 @@ def band_keys(texts: DataFrame, words: int) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, set, sketch) rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
+        factors, offsets = _draw()
         for batch in batches:
-            sets = [shingles.of(t.as_py()).view(np.int64) for t in batch["text"]]
-            yield pa.record_batch({"node": batch["node"], "set": pa.array(sets, pa.list_(pa.int64()))})
+            sets = [shingles.of(t.as_py()) for t in batch["text"]]
+            sketches = [_sketch(_least(s, factors, offsets)) for s in sets]
+            longs = pa.list_(pa.int64())
+            yield pa.record_batch(
+                {
+                    "node": batch["node"],
+                    "set": pa.array([s.view(np.int64) for s in sets], longs),
+                    "sketch": pa.array(sketches, longs),
+                }
+            )
 
-    return texts.mapInArrow(run, "node bigint, set array<bigint>")
+    return texts.mapInArrow(run, "node bigint, set array<bigint>, sketch array<bigint>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
@@ -99,14 +153,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").where(near).where(alike).select("a", "b")
 
 
+def _apart_pairs(crowd: DataFrame, roots: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
+    """Pairs (a, b) that share a band, lie in different components and whose sketches differ
+    no more than those of texts this alike do, each under the first key that both have. A
+    large band is dealt over several tasks: one side is cut, the other goes to every cut."""
+    members = crowd.select("key", "node").join(roots, "node")
+    parted = (
+        members.groupBy("key")
+        .agg(F.min("root").alias("_first"), F.max("root").alias("_last"), F.count(F.lit(1)).alias("n"))
+        .where("_first < _last")
+        .select("key", F.ceil(F.col("n") / CUT).cast("int").alias("cuts"))
+    )
+    inside = staged(members.join(parted, "key"), "apart-members")
+    nodes = (
+        inside.groupBy("node")
+        .agg(F.collect_list("key").alias("keys"))  # at most one a band
+        .join(sets.select("node", "sketch"), "node")
+    )
+    rows = staged(inside.join(nodes, "node"), "apart-nodes")
+    cut = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
+    x = rows.withColumn("cut", cut).alias("x")
+    y = rows.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).alias("y")
+    meet = (
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.cut") == F.col("y.cut"))
+        & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.root") != F.col("y.root"))
+        & (_differing(F.col("x.sketch"), F.col("y.sketch")) <= _most_differing(likeness))
+        & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys")))
+    )
+    return x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def similar_texts(
     docs: DataFrame, key: Column, words: int = WORDS, likeness: float = LIKENESS
 ) -> DataFrame:
     """Pairs (a, b) of text keys, a < b, that connect all texts linked by ``likeness``.
 
     In a band one node, drawn anew for each, is the pivot, and the others are compared with
-    it. What those links connect needs no comparing; nodes that they leave apart from the
-    pivot are compared with all of their band that they are apart from.
+    it. What those links connect needs no comparing; pairs of a band that they leave apart
+    are compared where their sketches allow it.
     """
     texts = docs.select(key.alias("node"), "text")
     keys = staged(band_keys(texts, words), "band-keys")
@@ -137,18 +223,5 @@ def similar_texts(
     )
     linked = staged(_verified(stars.distinct(), sets, likeness), "linked-to-pivots")
     roots = staged(components(staged(thinned(linked), "thinned-stars"), wanted), "star-roots")
-    others = staged(
-        crowd.where("pivot <> node")
-        .join(roots, "node")
-        .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")), "pivot")
-        .select("key", "node", "root", "main"),
-        "band-others",
-    )
-    apart = others.where("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("own"))
-    rest = (
-        apart.join(others.withColumnRenamed("node", "y"), "key")
-        .where("own <> root and (root = main or x < y)")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
+    rest = _apart_pairs(crowd, roots, sets, likeness)
     return linked.unionAll(_verified(staged(rest, "band-rest"), sets, likeness))
