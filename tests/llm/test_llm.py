@@ -306,3 +306,27 @@ def test_stages_keep_columns(spark, docs):
         assert stage(spark, docs.limit(0), str(DATA)).count() == 0, name
     ids = [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
     assert sorted(ids, key=repr) == sorted([1, 3, 4, 6, 7, 8, None], key=repr)
+
+
+def test_sketches_count_differing_hashes(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 63, 256, np.uint64)
+    y = np.where(rng.random(256) < 0.3, rng.integers(0, 1 << 63, 256, np.uint64), x)
+    bits = [similar.mixed(v) & np.uint64(15) for v in (x, y)]
+    rows = spark.createDataFrame([(similar._sketch(x).tolist(), similar._sketch(y).tolist())], "x array<bigint>, y array<bigint>")
+    found = rows.select(similar._differing(F.col("x"), F.col("y")).alias("n")).first()["n"]
+    assert found == int((bits[0] != bits[1]).sum()) > 0
+
+
+def test_texts_left_apart_are_compared_in_cuts(spark, monkeypatch):
+    monkeypatch.setattr(similar, "CUT", 1)
+    sets = {1: range(100), 2: range(5, 100), 3: range(40, 140)}
+    draw = similar._draw()
+    rows = []
+    for node, numbers in sets.items():
+        s = similar.mixed(np.array([*numbers], np.uint64) + np.uint64(1))
+        rows.append((node, s.view(np.int64).tolist(), similar._sketch(similar._least(s, *draw)).tolist()))
+    made = spark.createDataFrame(rows, "node bigint, set array<bigint>, sketch array<bigint>")
+    crowd = spark.createDataFrame([(k, n) for k in (7, 8) for n in sets], "key bigint, node bigint")
+    roots = spark.createDataFrame([(n, n) for n in sets], "node bigint, root bigint")
+    assert list(map(tuple, similar._apart_pairs(crowd, roots, made, 0.8).collect())) == [(1, 2)]
