@@ -141,6 +141,21 @@ def test_packing_matches_tokenizers(spark, docs):
     assert sum(len(r["ids"]) for r in packing.packed_tokens(docs, *tokenizer()).collect()) == sum(w[3] for w in want)
 
 
+def test_packing_takes_added_tokens_in_texts(spark):
+    public = pytest.importorskip("public_tokenizers")
+    t = pytest.importorskip("tokenizers").Tokenizer.from_file(str(public.path("byte_bpe_50k.json")))
+    mark = "<|endoftext|>"
+    texts = [f"x {mark} y", mark, f"{mark}{mark}\n\n  a", f"<|{mark}|>  {mark} ", "<|endoftext|", f"é{mark}" * 700]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = packing.token_pieces(rows, *tokenizer(), keep_ids=True).orderBy("doc_id", "piece").collect()
+    got = defaultdict(list)
+    for r in made:
+        got[r["doc_id"]] += r["ids"]
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 2] for i, x in enumerate(texts)}
+    assert packing.ADDED_TOKENS == {a.content: i for i, a in t.get_added_tokens_decoder().items()}
+
+
 def fingerprint(text):
     words = [w.encode().translate(simhash._LOWER) for w in words_of(text)]
     shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
