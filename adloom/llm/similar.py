@@ -1,11 +1,13 @@
 """Links between texts that share most of their word shingles.
 
 SimHash at four of 64 bits finds few of the texts whose five-word shingles overlap by 0.8
-(about ten bits differ there), so the pipeline adds these links to it. Candidates come from
-bands of minimal hashes: two texts at a likeness of 0.8 share one of 32 bands of eight with
-probability 0.997. Every candidate is verified on the full sets of shingle hashes, those of
-large groups after a look at four bits of each of the 256 minimal hashes: two texts at 0.8
-differ in more than these may with probability 0.0002, and less so the more alike they are.
+(about ten bits differ there), so the pipeline adds these links to it. All such pairs are
+found. Two sets at a likeness of 0.8 share a shingle among the first fifth of each, in any
+order that is the same for all texts; here rare shingles come first, so boilerplate seldom
+makes a candidate. Which are rare is judged by a sample; that decides the cost alone.
+Bands of minimal hashes give the likeliest links beforehand, cheaply: what they connect
+needs no comparing. Candidates are left out only by bounds that no pair at 0.8 can break,
+and all others are verified on the full sets of shingle hashes.
 
 Texts are compared in lower case (A-Z) by words between blanks. A text with fewer words
 than a shingle, or none, has no links here. Copies of a text are one node, its ``text_key``;
@@ -31,10 +33,13 @@ WORDS = 5
 LIKENESS = 0.8
 BANDS, ROWS = 32, 8
 CHUNK = 1 << 12  # shingles hashed at a time
-SKETCH_BITS = 4  # of each minimal hash
+SKETCH_BITS = 4  # of each bucket of shingle hashes
 PER_LONG = 64 // SKETCH_BITS
 CUT = 256  # members of a band that one task compares with the others
-DEVIATIONS = 3.5  # by which a sketch may fall short of the likeness
+SAMPLE = 8  # one text in so many tells which shingles are common
+COMMON = 1 << 19  # common shingles that every task knows, at most
+FIRST = 16  # keys of a text by which a pair that meets under several is taken once
+_SLACK = 1e-6  # for likenesses that have no exact double
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -75,15 +80,23 @@ def _band_keys(least: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return mixed(bands + np.arange(BANDS, dtype=np.uint64))
 
 
-def _sketch(least: np.ndarray) -> np.ndarray:
-    """The last bits of every minimal hash, packed."""
-    bits = (mixed(least) & np.uint64((1 << SKETCH_BITS) - 1)).reshape(-1, PER_LONG)
+def _folded(shingles: np.ndarray) -> np.ndarray:
+    """Shingle hashes dealt over buckets and XORed there: two sets differ in no more buckets
+    than they have shingles that only one of them holds."""
+    buckets = np.zeros(BANDS * ROWS, np.uint64)
+    np.bitwise_xor.at(buckets, (shingles % np.uint64(len(buckets))).astype(np.intp), shingles)
+    return buckets
+
+
+def _sketch(values: np.ndarray) -> np.ndarray:
+    """The last bits of every mixed value, packed."""
+    bits = (mixed(values) & np.uint64((1 << SKETCH_BITS) - 1)).reshape(-1, PER_LONG)
     places = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(SKETCH_BITS)
     return np.bitwise_or.reduce(bits << places, axis=1).view(np.int64)
 
 
 def _differing(x: Column, y: Column) -> Column:
-    """How many of the minimal hashes two sketches differ in."""
+    """How many of their values two sketches differ in."""
     ones = F.lit(int("1" * PER_LONG, 1 << SKETCH_BITS))
 
     def count(a: Column, b: Column) -> Column:
@@ -96,11 +109,6 @@ def _differing(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, count), F.lit(0), lambda total, n: total + n)
 
 
-def _most_differing(likeness: float) -> int:
-    n, chance = BANDS * ROWS, (1 - likeness) * (1 - 2.0**-SKETCH_BITS)
-    return math.ceil(n * chance + DEVIATIONS * math.sqrt(n * chance * (1 - chance)))
-
-
 def band_keys(texts: DataFrame, words: int) -> DataFrame:
     """(key, node) rows: every text that has shingles in each of its bands."""
 
@@ -121,15 +129,73 @@ def band_keys(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, node bigint")
 
 
+def common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles most common in a sample of the texts, in order, and in how
+    many texts of it each is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for batch in batches:
+            sets = [shingles.of(t.as_py()) for t in batch["text"]]
+            yield pa.record_batch({"hash": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)})
+
+    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
+    once = sample.groupBy("node").agg(F.min("text").alias("text")).select("text")
+    met = once.mapInArrow(run, "hash bigint").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    several = staged(met.where("n > 1"), "common-shingles")
+    left, least = COMMON, 2
+    for n, count in sorted(map(tuple, several.groupBy("n").count().collect()), reverse=True):
+        left -= count
+        if left < 0:
+            least = n + 1
+            break
+    rows = several.where(F.col("n") >= least).toArrow()  # at most COMMON
+    hashes = rows["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], rows["n"].to_numpy()[order]
+
+
+def _prefix(
+    shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, likeness: float
+) -> np.ndarray:
+    """The rarest of sorted shingle hashes: as many as a set this alike cannot lack all of."""
+    length = len(shingles) - math.ceil(likeness * len(shingles) - _SLACK) + 1
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        weight = np.where(common[at] == shingles, counts[at], 0)
+        shingles = shingles[np.argsort(weight, kind="stable")]
+    return shingles[:length]
+
+
+def prefix_keys(texts: DataFrame, words: int, likeness: float) -> DataFrame:
+    """(key, node) rows: every text with its rarest shingles. Two texts at ``likeness``
+    share a key."""
+    known = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for batch in batches:
+            keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for node, text in zip(batch["node"].to_numpy(), batch["text"]):
+                found = shingles.of(text.as_py())
+                if len(found):
+                    keys.append(_prefix(found, *known.value, likeness))
+                    nodes.append(np.full(len(keys[-1]), node))
+            yield pa.record_batch(
+                {"key": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes)}
+            )
+
+    return texts.mapInArrow(run, "key bigint, node bigint")
+
+
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     """(node, set, sketch) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
-        factors, offsets = _draw()
         for batch in batches:
             sets = [shingles.of(t.as_py()) for t in batch["text"]]
-            sketches = [_sketch(_least(s, factors, offsets)) for s in sets]
+            sketches = [_sketch(_folded(s)) for s in sets]
             longs = pa.list_(pa.int64())
             yield pa.record_batch(
                 {
@@ -154,9 +220,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
 
 
 def _apart_pairs(crowd: DataFrame, roots: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
-    """Pairs (a, b) that share a band, lie in different components and whose sketches differ
-    no more than those of texts this alike do, each under the first key that both have. A
-    large band is dealt over several tasks: one side is cut, the other goes to every cut."""
+    """Pairs (a, b) that share a key, lie in different components and whose sizes and
+    sketches do not rule out this likeness: sets of x and y shingles at a likeness of t
+    differ in (x + y)(1 - t)/(1 + t) at most. A pair comes under the first key that both
+    have, or under all where that is not among the first of each. A large crowd is dealt
+    over several tasks: one side is cut, the other goes to every cut."""
     members = crowd.select("key", "node").join(roots, "node")
     parted = (
         members.groupBy("key")
@@ -167,20 +235,25 @@ def _apart_pairs(crowd: DataFrame, roots: DataFrame, sets: DataFrame, likeness:
     inside = staged(members.join(parted, "key"), "apart-members")
     nodes = (
         inside.groupBy("node")
-        .agg(F.collect_list("key").alias("keys"))  # at most one a band
-        .join(sets.select("node", "sketch"), "node")
+        .agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST).alias("keys"))
+        .join(sets.select("node", "sketch", F.size("set").alias("size")), "node")
     )
     rows = staged(inside.join(nodes, "node"), "apart-nodes")
     cut = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
     x = rows.withColumn("cut", cut).alias("x")
     y = rows.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).alias("y")
+    sizes = F.col("x.size") + F.col("y.size")
     meet = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.cut") == F.col("y.cut"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.root") != F.col("y.root"))
-        & (_differing(F.col("x.sketch"), F.col("y.sketch")) <= _most_differing(likeness))
-        & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys")))
+        & (F.least("x.size", "y.size") >= likeness * F.greatest("x.size", "y.size") - _SLACK)
+        & (
+            _differing(F.col("x.sketch"), F.col("y.sketch"))
+            <= sizes * ((1 - likeness) / (1 + likeness)) + _SLACK
+        )
+        & F.coalesce(F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys")), F.lit(True))
     )
     return x.join(y, meet).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
@@ -191,8 +264,8 @@ def similar_texts(
     """Pairs (a, b) of text keys, a < b, that connect all texts linked by ``likeness``.
 
     In a band one node, drawn anew for each, is the pivot, and the others are compared with
-    it. What those links connect needs no comparing; pairs of a band that they leave apart
-    are compared where their sketches allow it.
+    it. What those links connect needs no comparing; pairs with a common prefix key that
+    they leave apart are compared where sizes and sketches allow it.
     """
     texts = docs.select(key.alias("node"), "text")
     keys = staged(band_keys(texts, words), "band-keys")
@@ -208,7 +281,18 @@ def similar_texts(
         keys.join(broadcast_if_small(shared), "key").select("key", "pivot", "node").distinct(),
         "band-crowds",
     )
-    wanted = staged(crowd.select("node").distinct(), "band-nodes")
+    prefixes = staged(prefix_keys(texts, words, likeness), "prefix-keys")
+    met = staged(
+        prefixes.groupBy("key")
+        .agg(F.min("node").alias("_a"), F.max("node").alias("_z"))
+        .where("_a < _z")
+        .select("key"),
+        "shared-prefixes",
+    )
+    meeting = staged(prefixes.join(broadcast_if_small(met), "key").distinct(), "prefix-crowds")
+    wanted = staged(
+        crowd.select("node").unionAll(meeting.select("node")).distinct(), "candidate-nodes"
+    )
     sets = staged(
         shingle_sets(
             texts.join(broadcast_if_small(wanted), "node", "left_semi")
@@ -223,5 +307,5 @@ def similar_texts(
     )
     linked = staged(_verified(stars.distinct(), sets, likeness), "linked-to-pivots")
     roots = staged(components(staged(thinned(linked), "thinned-stars"), wanted), "star-roots")
-    rest = _apart_pairs(crowd, roots, sets, likeness)
-    return linked.unionAll(_verified(staged(rest, "band-rest"), sets, likeness))
+    rest = staged(_apart_pairs(meeting, roots, sets, likeness).distinct(), "prefix-rest")
+    return linked.unionAll(_verified(rest, sets, likeness))

@@ -345,3 +345,25 @@ def test_texts_left_apart_are_compared_in_cuts(spark, monkeypatch):
     crowd = spark.createDataFrame([(k, n) for k in (7, 8) for n in sets], "key bigint, node bigint")
     roots = spark.createDataFrame([(n, n) for n in sets], "node bigint, root bigint")
     assert list(map(tuple, similar._apart_pairs(crowd, roots, made, 0.8).collect())) == [(1, 2)]
+
+
+def test_no_pair_of_like_shingles_is_missed(spark):
+    head, rows = [f"h{i}" for i in range(30)], []
+    for i in range(2600):
+        words = [*head, *(f"p{i}-{k}" for k in range(104))]
+        other = list(words)
+        # 14 of 130 shingles changed leave 116 of 144 in common, 15 leave 115 of 145
+        for at in (50, 80, *range(130 if i < 2500 else 129, 134)):
+            other[at] = f"o{i}-{at}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    made = spark.createDataFrame(rows, "id bigint, text string")
+    pairs = similar.similar_texts(made, F.col("id")).distinct().collect()
+    assert {tuple(p) for p in pairs} == {(2 * i, 2 * i + 1) for i in range(2500)}
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(6)
+    for shared, only in ((80, 20), (3000, 50), (0, 5), (1, 0)):
+        x = rng.integers(0, 1 << 63, shared + only, np.uint64)
+        y = np.concatenate([x[:shared], rng.integers(0, 1 << 63, only // 2, np.uint64)])
+        assert int((similar._folded(x) != similar._folded(y)).sum()) <= only + only // 2
