@@ -39,6 +39,11 @@ def open_input(uri: str):
     return fs.open_input_file(path)
 
 
+def delete_file(uri: str) -> None:
+    fs, path = _resolve(uri)
+    fs.delete_file(path)
+
+
 def give_to_executors(spark: SparkSession, uri: str) -> str:
     """Let every executor, also one that joins later, fetch a file to its own disk once.
     Returns the name ``local_file`` finds it by."""

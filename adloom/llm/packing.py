@@ -7,8 +7,7 @@ sequence are cut; their first piece takes the remainder and the others fill a se
 
 A null text is empty and still has its end token. Rows with a null or repeated ``doc_id``
 are packed like any others, each on its own. An empty table gives no rows; other columns
-are ignored. Texts of any length are tokenised whole. Added tokens of the vocabulary are
-taken inside texts as ``tokenizers`` takes them: the leftmost first, the rest parted by it.
+are ignored. Texts of any length are tokenised whole, runs of a million blanks included.
 
 Pieces are packed in groups of about ``GROUP_PIECES``, dealt by hash. A group wastes at
 most about one sequence, so the result is within a few parts in ten thousand of one
@@ -17,11 +16,8 @@ global packing, and no task holds more than its group's lengths.
 
 from __future__ import annotations
 
-import base64
-import re
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,39 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.common import staged
+from adloom.llm.tokens import encoder, text_ids
 
 CAPACITY = 1024
 END_TOKEN = 2
-ADDED_TOKENS = {"<|endoftext|>": 50256}  # of ``byte_bpe_50k.json``; the ranks lack it
 GROUP_PIECES = 50_000
 _SEQUENCE_BITS = 40  # sequence numbers inside a group
 
 PIECES = "_row bigint, doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-@lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str):
-    """Byte-level BPE from a file of ranks. It is built once in a worker."""
-    import tiktoken
-
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
-def with_added(encode: Callable[[str], list[int]], text: str) -> list[int]:
-    """Ids of a text in which added tokens part what is encoded."""
-    if not any(token in text for token in ADDED_TOKENS):
-        return encode(text)
-    ids: list[int] = []
-    for part in re.split("(" + "|".join(map(re.escape, ADDED_TOKENS)) + ")", text):
-        if part in ADDED_TOKENS:
-            ids.append(ADDED_TOKENS[part])
-        else:
-            ids.extend(encode(part))
-    return ids
-
-
 def token_pieces(
     docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, keep_ids: bool = False
 ) -> DataFrame:
@@ -71,11 +44,11 @@ def token_pieces(
     kind = dict(docs.dtypes)["doc_id"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path, pattern).encode_ordinary
+        encoding = encoder(ranks_path, pattern)
         for batch in batches:
             at, starts, lengths, checks, ids_of, numbers = [], [], [], [], [], []
             for i, text in enumerate(batch["text"]):
-                ids = np.array([*with_added(encode, text.as_py() or ""), END_TOKEN], "<u4")
+                ids = np.array([*text_ids(encoding, text.as_py()), END_TOKEN], "<u4")
                 first = (len(ids) - 1) % capacity + 1
                 cuts = [0, *range(first, len(ids), capacity), len(ids)]
                 for k in range(len(cuts) - 1):

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm.common import table
+from adloom.llm.conversations import damaged, repaired
 from adloom.llm.decontamination import leaked_pairs
+from adloom.llm.histogram_packing import pack_by_histogram
 from adloom.llm.packing import pack_documents
 from adloom.llm.secrets import count_of, find_secrets, spans_text
 from adloom.llm.sharding import assign_shards
@@ -101,6 +103,14 @@ def op10_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_by_histogram(table(spark, sf_dir, "documents"), *tokenizer())
+
+
+def op13_streamed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_compression_toxicity": op1_compression_toxicity,
     "op4_string_tiling": op4_string_tiling,
@@ -112,6 +122,8 @@ QUERIES: dict[str, Query] = {
     "op8_randomness_battery": op8_randomness_battery,
     "op9_suffix_trees": op9_suffix_trees,
     "op10_url_digests": op10_url_digests,
+    "op11_shortest_pack_first": op11_shortest_pack_first,
+    "op13_streamed_repair": op13_streamed_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -166,5 +178,74 @@ with u as (
   from u left join r on (u.host = h or ends_with(u.host, '.' || h)) and starts_with(u.path, p)
 )
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict from m where k = 1
+""",
+    "op13_streamed_repair": r"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+  from conversations
+), faults as (
+  select *, xor(4294967295, list_reduce(
+    list_transform(range(length(key)), lambda i: ascii(substr(key, i + 1, 1))::bigint),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)),
+    4294967295)) % 20 as fault
+  from keyed
+), damaged as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when fault = 3 then [0, 1] else [0] end) as copy
+  from faults where fault <> 0
+), numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as k,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as seen,
+    right(rtrim(text, E' \t\n\x0b\x0c\r'), 1) as last_char
+  from damaged
+), marked as (
+  select *, left(role, 1) as initial, last_char = '' as blank, last_char <> '' and seen as duplicate,
+    last_char <> '' and not seen and last_char not in ('.', '!', '?') as truncated,
+    lag(left(role, 1)) over (partition by conv_id order by k) || left(role, 1) as pair
+  from numbered
+), counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+    count(*) filter (truncated) as truncated,
+    count(*) filter (pair not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from marked group by conv_id
+), inserts(state, n, after, line) as (
+  values (0, 0, 0, ''), (1, 0, 1, ''), (2, 0, 2, ''), (3, 0, 3, ''),
+    (0, 1, 2, E'\nuser:'), (1, 1, 2, E'\nuser:'), (2, 1, 3, E'\nassistant:'), (3, 1, 2, E'\nuser:'),
+    (0, 2, 3, E'\nuser:\nassistant:'), (1, 2, 3, E'\nuser:\nassistant:'),
+    (2, 2, 2, E'\nassistant:\nuser:'), (3, 2, 3, E'\nuser:\nassistant:')
+), edits(edit, origin, initial, after, cost, made) as (
+  values ('D', 0, null, 0, 4, null), ('D', 1, null, 1, 4, null), ('D', 2, null, 2, 4, null), ('D', 3, null, 3, 4, null),
+    ('K', 0, 's', 1, 0, null), ('K', 0, 'u', 2, 0, null), ('K', 1, 'u', 2, 0, null), ('K', 3, 'u', 2, 0, null),
+    ('K', 2, 'a', 3, 0, null), ('R', 0, null, 2, 3, 'user'), ('R', 1, null, 2, 3, 'user'),
+    ('R', 3, null, 2, 3, 'user'), ('R', 2, null, 3, 3, 'assistant')
+), step as (
+  select conv_id, 0::bigint as k, 0 as state, {'cost': 0::bigint, 'audit': '', 'lines': ''} as best
+  from (select distinct conv_id from conversations)
+  union all
+  select s.conv_id, s.k + 1, e.after,
+    min({'cost': s.best.cost + 3 * i.n + e.cost + case when m.truncated and e.edit <> 'D' then 3 else 0 end,
+      'audit': s.best.audit || repeat('I', i.n) || e.edit,
+      'lines': s.best.lines || i.line || case e.edit when 'D' then ''
+        else E'\n' || coalesce(e.made, m.role) || ':' || m.text end})
+  from step s
+    join marked m on m.conv_id is not distinct from s.conv_id and m.k = s.k + 1
+    join inserts i on i.state = s.state
+    join edits e on e.origin = i.after and (e.initial is null or e.initial = m.initial)
+      and (e.edit = 'D' or not (m.blank or m.duplicate))
+  group by s.conv_id, s.k, e.after
+), ended as (
+  select s.conv_id, min({'cost': s.best.cost + 3 * i.n, 'audit': s.best.audit || repeat('I', i.n),
+    'lines': s.best.lines || i.line}) as best
+  from step s left join counted c on c.conv_id is not distinct from s.conv_id
+    join inserts i on i.state = s.state and i.after in (0, 3)
+  where s.k = coalesce(c.n, 0) group by s.conv_id
+)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.cost as cost,
+  best.audit as audit, sha256(substr(best.lines, 2)) as repaired_sha256
+from ended e left join counted c on c.conv_id is not distinct from e.conv_id
 """,
 }

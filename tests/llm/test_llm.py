@@ -47,7 +47,7 @@ def words_of(text):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     duckdb = pytest.importorskip("duckdb").connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations", "embeddings"):
         duckdb.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = QUERIES[name](spark, str(DATA))
     cursor = duckdb.execute(ORACLES[name])
