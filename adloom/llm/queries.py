@@ -12,6 +12,7 @@ from adloom.llm.common import table
 from adloom.llm.conversations import damaged, repaired
 from adloom.llm.decontamination import leaked_pairs
 from adloom.llm.histogram_packing import pack_by_histogram
+from adloom.llm.negatives import hard_negatives
 from adloom.llm.packing import pack_documents
 from adloom.llm.secrets import count_of, find_secrets, spans_text
 from adloom.llm.sharding import assign_shards
@@ -107,6 +108,10 @@ def op11_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_by_histogram(table(spark, sf_dir, "documents"), *tokenizer())
 
 
+def op12_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_streamed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(table(spark, sf_dir, "conversations")))
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_trees": op9_suffix_trees,
     "op10_url_digests": op10_url_digests,
     "op11_shortest_pack_first": op11_shortest_pack_first,
+    "op12_inverted_multi_index": op12_inverted_multi_index,
     "op13_streamed_repair": op13_streamed_repair,
 }
 
@@ -178,6 +184,29 @@ with u as (
   from u left join r on (u.host = h or ends_with(u.host, '.' || h)) and starts_with(u.path, p)
 )
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict from m where k = 1
+""",
+    "op12_inverted_multi_index": """
+with v as (
+  select row_number() over () as k, vec_id,
+    case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select a.k as anchor, a.vec_id as anchor_id, b.k, b.vec_id, a.label = b.label as same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])), 0)::bigint as score
+  from v a join v b on a.k <> b.k where a.vec_id % 100 = 0
+), p as (
+  select * from s where same
+  qualify row_number() over (partition by anchor order by score desc, vec_id nulls last, k) <= 5
+), n as (
+  select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor, p.k order by s.score desc, s.vec_id nulls last, s.k) as rank
+  from p join s on s.anchor = p.anchor and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from n where rank <= 5
 """,
     "op13_streamed_repair": r"""
 with recursive keyed as (
