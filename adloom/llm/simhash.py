@@ -279,11 +279,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, words: int = WORDS, shingles: bool = True
+) -> DataFrame:
     """One document of each component: that with the smallest doc_id, where several share
     it the one with the smallest text key, and of rows that repeat it one. Components take
-    the links of fingerprints and those of texts whose five-word shingles overlap by 0.8."""
-    marked, classes = _classes(docs, words, shingles=True)
+    the links of fingerprints, with ``shingles`` also those of texts whose five-word
+    shingles overlap by 0.8."""
+    marked, classes = _classes(docs, words, shingles)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     firsts = marked.groupBy("fp").agg(F.min(order).alias("first")).join(classes, "fp")
     kept = staged(

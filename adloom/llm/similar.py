@@ -1,8 +1,8 @@
 """Links between texts that share most of their word shingles.
 
 SimHash at four of 64 bits finds few of the texts whose five-word shingles overlap by 0.8
-(about ten bits differ there), so the pipeline adds these links to it. All such pairs are
-found. Two sets at a likeness of 0.8 share a shingle among the first fifth of each, in any
+(about ten bits differ there); these links can be added to it. All such pairs are found.
+Two sets at a likeness of 0.8 share a shingle among the first fifth of each, in any
 order that is the same for all texts; here rare shingles come first, so boilerplate seldom
 makes a candidate. Which are rare is judged by a sample; that decides the cost alone.
 Bands of minimal hashes give the likeliest links beforehand, cheaply: what they connect

@@ -46,8 +46,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_own_names
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: that with the smallest doc_id."""
-    return without_near_duplicates(docs)
+    """One document of each group of near copies stays: that with the smallest doc_id. Near
+    are the fingerprints that the SimHash operator links, by its own shingles and bits."""
+    return without_near_duplicates(docs, shingles=False)
 
 
 @_own_names
