@@ -14,7 +14,7 @@ import xxhash
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from adloom.llm import decontamination, packing, secrets, sharding, similar, simhash, sketches, toxicity
+from adloom.llm import decontamination, packing, secrets, sharding, similar, simhash, sketches, tokens, toxicity
 from adloom.llm.queries import ORACLES, QUERIES, tokenizer
 from adloom.llm.substrings import without_repeats
 from adloom.llm.urlfilter import judge_urls
@@ -153,7 +153,7 @@ def test_packing_takes_added_tokens_in_texts(spark):
         got[r["doc_id"]] += r["ids"]
         assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
     assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 2] for i, x in enumerate(texts)}
-    assert packing.ADDED_TOKENS == {a.content: i for i, a in t.get_added_tokens_decoder().items()}
+    assert tokens.ADDED_TOKENS == {a.content: i for i, a in t.get_added_tokens_decoder().items()}
 
 
 def fingerprint(text):
