@@ -31,13 +31,15 @@ def fetched_in_attempts(
     ``received`` has an ``attempt`` column from 1, one row per id and attempt. An id
     first answered in attempt n leaves n-1 placeholders and its answer, however late n
     is; one never answered leaves ``attempts`` placeholders. One join, whatever the attempts.
+    Where it also has a ``run`` column, an id takes the answers of its latest run alone.
     """
     on = list(on)
-    fields = [c for c in received.columns if c not in (*on, "attempt")]
-    answer = (
-        received.groupBy(*on)
-        .agg(F.min(F.struct("attempt", *fields)).alias("_answer"))
-    )
+    fields = [c for c in received.columns if c not in (*on, "run", "attempt")]
+    if "run" in received.columns:
+        latest = F.max(F.struct("run", (-F.col("attempt")).alias("_early"), F.struct("attempt", *fields).alias("_own")))
+        answer = received.groupBy(*on).agg(latest["_own"].alias("_answer"))
+    else:
+        answer = received.groupBy(*on).agg(F.min(F.struct("attempt", *fields)).alias("_answer"))
     tried = requested.join(answer, on, "left").withColumn(
         "attempt",
         F.explode(F.sequence(F.lit(1), F.coalesce("_answer.attempt", F.lit(attempts)))),

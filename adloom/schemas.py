@@ -47,17 +47,17 @@ LANDED_INSIGHTS = {
     for level, names in INSIGHT_FIELDS.items()
 }
 
-# Landed entities, foldered by shard and by attempt.
+# Landed entities, foldered by shard, by run and by attempt.
 LANDED_ENTITIES = {
     "ads": schema(
         "id string, name string, adset_id string, campaign_id string, status string, "
-        f"{SHARD_DDL}, attempt int"
+        f"{SHARD_DDL}, run string, attempt int"
     ),
-    "adsets": schema(f"id string, name string, campaign_id string, {SHARD_DDL}, attempt int"),
-    "campaigns": schema(f"id string, name string, status string, {SHARD_DDL}, attempt int"),
-    "ad_creatives": schema(f"id string, creative creative, {SHARD_DDL}, attempt int"),
-    "creatives": schema(f"id string, thumbnail_url string, {SHARD_DDL}"),
-    "accounts": schema(f"id string, name string, {SHARD_DDL}"),
+    "adsets": schema(f"id string, name string, campaign_id string, {SHARD_DDL}, run string, attempt int"),
+    "campaigns": schema(f"id string, name string, status string, {SHARD_DDL}, run string, attempt int"),
+    "ad_creatives": schema(f"id string, creative creative, {SHARD_DDL}, run string, attempt int"),
+    "creatives": schema(f"id string, thumbnail_url string, {SHARD_DDL}, run string"),
+    "accounts": schema(f"id string, name string, {SHARD_DDL}, run string"),
     "responses": schema(f"entity string, http_status int, error_code int, {SHARD_DDL}, day date"),
 }
 

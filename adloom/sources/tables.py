@@ -24,6 +24,14 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, by the names of their own level alone: what lies
+    below them is not listed."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    matching = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    return sorted(status.getPath().toString() for status in matching or [])
+
+
 def read_path(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at a path, or no rows of its schema where nothing was loaded yet."""
     if not table_exists(spark, path):
