@@ -221,6 +221,52 @@ PIPELINE_CAMPAIGN = {
     "campaigns": PIPELINE_CAMPAIGN_DIM,
 }
 
+# A second run over days from 1997 on: its answers replace those of the ids it asks for.
+PIPELINE_CAMPAIGN_RERUN = {
+    "again": """select * from fx_campaign_insights
+      where coalesce(try_cast(date_start as date), try_cast(date_stop as date)) >= date '1997-01-01'""",
+    # rows without a date replace nothing, so the second load adds them again
+    "again_undated": "select * from again where try_cast(date_start as date) is null",
+    "facts": in_pipeline(facts("fx_campaign_insights", "campaign"))
+    + " union all by name " + in_pipeline(facts("again_undated", "campaign")),
+    "campaign_ids": "select distinct campaign_id from facts where campaign_id is not null",
+    "first_campaigns": PIPELINE_CAMPAIGN_DIM,
+    "asked": "select distinct campaign_id from again where campaign_id is not null",
+    "told": "select * replace (campaign_name || ' v2' as campaign_name, 'PAUSED' as status) from fx_campaign_metadata",
+    "second_campaigns": PIPELINE_CAMPAIGN_DIM.replace("fx_campaign_metadata", "told")
+    .replace("campaign_ids", "asked").replace("'Account 7'", "'Account 7 v2'"),
+    "campaigns": """select * from first_campaigns where campaign_id not in (select campaign_id from asked)
+      union all by name select * from second_campaigns""",
+}
+PIPELINE_AD_RERUN = {
+    **{name: PIPELINE_AD[name] for name in ("facts", "requested", "answered")},
+    "first_ads": PIPELINE_AD["ad_rows"],
+    "asked": "select distinct ad_id from facts where ad_id is not null and date >= date '1997-01-01'",
+    "told_ads": f"""select * replace (ad_name || ' v2' as ad_name, 'PAUSED' as status), 2 as attempt
+      from ({GOOD_ADS}) where cast(ad_id as bigint) % 4 <> 1""",
+    "second_ads": "select *, '7' as account_id from ("
+    + ADS_IN_ATTEMPTS.replace("from answered", "from told_ads").replace("from requested", "from asked") + ")",
+    "ad_rows": """select * from first_ads where ad_id not in (select ad_id from asked)
+      union all by name select * from second_ads""",
+    "first_campaign_ids": "select distinct campaign_id from first_ads where campaign_id is not null",
+    "second_campaign_ids": "select distinct campaign_id from second_ads where campaign_id is not null",
+    "told": PIPELINE_CAMPAIGN_RERUN["told"],
+    "first_campaigns": PIPELINE_CAMPAIGN_DIM.replace("campaign_ids", "first_campaign_ids"),
+    "second_campaigns": PIPELINE_CAMPAIGN_DIM.replace("campaign_ids", "second_campaign_ids")
+    .replace("fx_campaign_metadata", "told"),
+    "campaigns": """select * from first_campaigns
+        where campaign_id not in (select campaign_id from second_campaign_ids)
+      union all by name select * from second_campaigns""",
+    "adset_ids": "select distinct adset_id from first_ads where adset_id is not null",
+    "adsets": PIPELINE_AD["adsets"],
+    "creatives": """
+      select '7' as account_id, q.ad_id,
+        c.thumbnail_url || case when q.ad_id in (select ad_id from asked) then '?v=2' else '' end as thumbnail_url
+      from (select r.ad_id, unnest(generate_series(1, case when c.ad_id is null then 3 else 1 end))
+          from requested r left join fx_ad_creative c using (ad_id)) q
+        left join fx_ad_creative c using (ad_id)""",
+}
+
 AS_OF = "1998-03-15"
 RANGE_MODES = {
     "today": ("1998-03-15", "1998-03-15"),
@@ -420,4 +466,13 @@ ORACLES: dict[str, str] = {
         ),
         **PIPELINE_AD,
     ),
+    "pipeline_campaign_rerun": with_ctes(
+        in_mart_order("campaign", mart("campaign", campaign="campaigns")), **PIPELINE_CAMPAIGN_RERUN
+    ),
+    "pipeline_ad_rerun": with_ctes(
+        in_mart_order(
+            "ad", mart("ad", ad="ad_rows", campaign="campaigns", adset="adsets", creative="creatives")
+        ),
+        **PIPELINE_AD_RERUN,
+    ),
 }

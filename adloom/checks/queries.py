@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_DAY, LAST_DAY = date(1990, 1, 1), date(2010, 12, 31)
 AS_OF = date(1998, 3, 15)
+RERUN_FROM = date(1997, 1, 1)
 SHARD_PREFIX = "co_table_platform_"
 NO_BROADCAST = -1
 
@@ -432,11 +434,11 @@ def range_modes(spark, sf):
 # Pipelines ------------------------------------------------------------------------
 
 
-def land(df: DataFrame, root: str, name: str, folder: str) -> None:
-    """Landed JSON of one shard, foldered by day or attempt."""
-    by = ["department", "account", folder]
+def land(df: DataFrame, root: str, name: str, *below: str) -> None:
+    """Landed JSON of one shard, foldered by day, or by run and attempt."""
+    by = ["department", "account", *below]
     rows = in_one_shard(df).hint("rebalance", *by)
-    rows.write.partitionBy(*by).option("ignoreNullFields", "false").json(f"{root}/{name}")
+    rows.write.partitionBy(*by).option("ignoreNullFields", "false").mode("append").json(f"{root}/{name}")
 
 
 def land_insights(df: DataFrame, root: str, level: str) -> None:
@@ -446,72 +448,113 @@ def land_insights(df: DataFrame, root: str, level: str) -> None:
     land(rows, root, f"{level}_insights", "day")
 
 
-def landed_job(spark: SparkSession, sf: str, level: str) -> Job:
-    """All landed files of one shard, and a fresh warehouse."""
-    root = work_folder(spark, f"landing-{level}")
-    accounts = fixture(spark, sf, "fx_campaign_metadata").select(
+def land_answers(spark, sf: str, root: str, level: str, run: str | None, ads: DataFrame, change) -> None:
+    """Answers to one run's questions; ``change`` gives a later run other names and states."""
+    one = F.lit(1).alias("attempt")
+
+    def put(df: DataFrame, name: str, *below: str) -> None:
+        df = change(name, df)
+        if run is not None:
+            df, below = df.withColumn("run", F.lit(run)), ("run", *below)
+        land(df, root, name, *below)
+
+    account = fixture(spark, sf, "fx_campaign_metadata").select(
         F.lit("act_7").alias("id"), F.lit("Account 7").alias("name")
     )
-    in_one_shard(accounts.distinct()).write.partitionBy("department", "account").json(f"{root}/accounts")
-    land(
+    put(account.distinct(), "accounts")
+    put(
         fixture(spark, sf, "fx_campaign_metadata").select(
-            F.col("campaign_id").alias("id"), F.col("campaign_name").alias("name"), "status",
-            F.lit(1).alias("attempt"),
+            F.col("campaign_id").alias("id"), F.col("campaign_name").alias("name"), "status", one
         ),
-        root, "campaigns", "attempt",
+        "campaigns", "attempt",
     )
-    land_insights(fixture(spark, sf, f"fx_{level}_insights"), root, level)
-    if level == "ad":
-        land(
-            answered_ads(spark, sf).select(
-                F.col("ad_id").alias("id"), F.col("ad_name").alias("name"),
-                "adset_id", "campaign_id", "status", "attempt",
-            ),
-            root, "ads", "attempt",
-        )
-        land(
-            fixture(spark, sf, "fx_adset_metadata").select(
-                F.col("adset_id").alias("id"), F.col("adset_name").alias("name"), "campaign_id",
-                F.lit(1).alias("attempt"),
-            ),
-            root, "adsets", "attempt",
-        )
-        creative = fixture(spark, sf, "fx_ad_creative")
-        land(
-            creative.select(
-                F.col("ad_id").alias("id"),
-                F.when(F.col("creative_id").isNotNull(), F.struct(F.col("creative_id").alias("id")))
-                .alias("creative"),
-                F.lit(1).alias("attempt"),
-            ),
-            root, "ad_creatives", "attempt",
-        )
-        thumbnails = creative.where("creative_id is not null").select(
+    if level == "campaign":
+        return
+    put(
+        ads.select(
+            F.col("ad_id").alias("id"), F.col("ad_name").alias("name"),
+            "adset_id", "campaign_id", "status", "attempt",
+        ),
+        "ads", "attempt",
+    )
+    put(
+        fixture(spark, sf, "fx_adset_metadata").select(
+            F.col("adset_id").alias("id"), F.col("adset_name").alias("name"), "campaign_id", one
+        ),
+        "adsets", "attempt",
+    )
+    creative = fixture(spark, sf, "fx_ad_creative")
+    link = F.when(F.col("creative_id").isNotNull(), F.struct(F.col("creative_id").alias("id")))
+    put(
+        creative.select(F.col("ad_id").alias("id"), link.alias("creative"), one),
+        "ad_creatives", "attempt",
+    )
+    put(
+        creative.where("creative_id is not null").select(
             F.col("creative_id").alias("id"), "thumbnail_url"
-        )
-        in_one_shard(thumbnails).write.partitionBy("department", "account").json(f"{root}/creatives")
-    return Job(root, work_folder(spark, "warehouse"), "mkt", "main")
+        ),
+        "creatives",
+    )
+
+
+def landed_job(spark: SparkSession, sf: str, level: str, run: str | None = None) -> Job:
+    """All landed files of one shard, and a fresh warehouse."""
+    root = work_folder(spark, f"landing-{level}")
+    land_answers(spark, sf, root, level, run, answered_ads(spark, sf), lambda _, df: df)
+    land_insights(fixture(spark, sf, f"fx_{level}_insights"), root, level)
+    return Job(root, work_folder(spark, "warehouse"), "mkt", "main", run)
+
+
+RUN_PIPELINE = {"ad": run_ad, "campaign": run_campaign}
+
+
+def built_mart(spark: SparkSession, job: Job, level: str) -> DataFrame:
+    """The mart a pipeline has written, read back."""
+    names = ("ad_metadata", "campaign_metadata", "adset_metadata", "ad_creative")
+    tables = names if level == "ad" else ("campaign_metadata",)
+    dims = {"ad": ad_dimensions, "campaign": campaign_dimensions}[level]
+    shape = mart(
+        read_table(spark, job.warehouse, f"{level}_insights"),
+        level,
+        dims(*(read_table(spark, job.warehouse, t) for t in tables)),
+    ).schema
+    return read_path(spark, f"{job.warehouse}/{MART_TABLES[level]}", shape)
 
 
 def pipeline(level: str) -> Query:
     """Landed JSON through loads and fetches to the mart table, read back."""
-    run_pipeline = {"ad": run_ad, "campaign": run_campaign}[level]
-    dims = {"ad": ad_dimensions, "campaign": campaign_dimensions}[level]
 
     def run(spark, sf):
         job = landed_job(spark, sf, level)
-        run_pipeline(spark, job, FIRST_DAY, LAST_DAY)
-        tables = (
-            ("ad_metadata", "campaign_metadata", "adset_metadata", "ad_creative")
-            if level == "ad"
-            else ("campaign_metadata",)
-        )
-        shape = mart(
-            read_table(spark, job.warehouse, f"{level}_insights"),
-            level,
-            dims(*(read_table(spark, job.warehouse, t) for t in tables)),
-        ).schema
-        return read_path(spark, f"{job.warehouse}/{MART_TABLES[level]}", shape)
+        RUN_PIPELINE[level](spark, job, FIRST_DAY, LAST_DAY)
+        return built_mart(spark, job, level)
+
+    return run
+
+
+def changed_answers(name: str, df: DataFrame) -> DataFrame:
+    """What a later run is told: entities renamed, paused and pictured anew."""
+    if name in ("ads", "campaigns", "accounts"):
+        df = df.withColumn("name", F.concat("name", F.lit(" v2")))
+    if name in ("ads", "campaigns"):
+        df = df.withColumn("status", F.lit("PAUSED"))
+    if name == "creatives":
+        df = df.withColumn("thumbnail_url", F.concat("thumbnail_url", F.lit("?v=2")))
+    return df
+
+
+def pipeline_rerun(level: str) -> Query:
+    """A second run over the later days only. Its answers differ, and one ad in four it
+    never gets; entities it does not ask for keep what the first run was told."""
+
+    def run(spark, sf):
+        job = landed_job(spark, sf, level, "run1")
+        RUN_PIPELINE[level](spark, job, FIRST_DAY, LAST_DAY)
+        ads = good_ads(spark, sf).where(F.col("ad_id").cast("bigint") % 4 != 1)
+        ads = ads.withColumn("attempt", F.lit(2))
+        land_answers(spark, sf, job.landing, level, "run2", ads, changed_answers)
+        RUN_PIPELINE[level](spark, replace(job, run="run2"), RERUN_FROM, LAST_DAY)
+        return built_mart(spark, job, level)
 
     return run
 
@@ -580,4 +623,6 @@ QUERIES: dict[str, Query] = {
     "load_audit": load_audit,
     "pipeline_campaign": pipeline("campaign"),
     "pipeline_ad": pipeline("ad"),
+    "pipeline_campaign_rerun": pipeline_rerun("campaign"),
+    "pipeline_ad_rerun": pipeline_rerun("ad"),
 }
