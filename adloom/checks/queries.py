@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -278,14 +279,14 @@ def mart_campaign_query(limit: int) -> Query:
 
 
 def mart_table(level: str) -> Query:
-    """The mart, written as a table and read back."""
+    """The mart, written as a version of a table in the catalog and read by name."""
     query = {"ad": mart_ad_query, "campaign": mart_campaign_query}[level](BROADCAST_LIMIT)
 
     def run(spark, sf):
         warehouse = work_folder(spark, "mart")
-        rows = query(spark, sf)
-        write_mart(rows, warehouse, level)
-        return read_path(spark, f"{warehouse}/{MART_TABLES[level]}", rows.schema)
+        database = f"checks_{uuid.uuid4().hex}"
+        write_mart(query(spark, sf), warehouse, level, database=database)
+        return spark.table(f"{database}.{MART_TABLES[level]}")
 
     return run
 

@@ -9,6 +9,7 @@ are not changed together.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,7 +22,8 @@ from adloom.operators.sizes import broadcast_if_small
 from adloom.operators.upsert import key_set, matching_count, upsert
 from adloom.schemas import TABLES, Table, require_columns
 from adloom.session import work_folder
-from adloom.sources.tables import read_path, table_exists
+from adloom.sinks.catalog import add_partitions, ensure_table
+from adloom.sources.tables import delete_folder, put_in_place, read_path, table_exists
 
 MODES = ("insert", "upsert")
 
@@ -62,7 +64,6 @@ def write(
     mode: str,
     partition: Sequence[str] = (),
     cluster: Sequence[str] = (),
-    gather: bool = True,
 ) -> int:
     """Write and return the rows written, counted by the write itself.
 
@@ -70,11 +71,7 @@ def write(
     partitions that have rows).
     """
     counted = Observation("rows")
-    order = [*partition, *cluster]
-    if gather:
-        rows = laid_out(df, partition, cluster)
-    else:
-        rows = df.sortWithinPartitions(*order) if order else df
+    rows = laid_out(df, partition, cluster)
     writer = rows.observe(counted, F.count(F.lit(1)).alias("n")).write
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -95,13 +92,18 @@ def load(
     partition: Sequence[str] = (),
     cluster: Sequence[str] = (),
     shard: Sequence[str] = (),
+    table: str | None = None,
 ) -> Audit:
     """Append ``df`` to the table at ``path`` after deleting the rows it replaces.
 
     'insert' deletes nothing. 'upsert' deletes the rows that share the new rows'
     ``keys`` within the same ``shard``. The table is created by its first load. An
-    empty ``df`` changes nothing. ``df`` is read more than once by an upsert; pass a
-    staged one if it is costly.
+    empty ``df`` changes nothing. ``df`` is read more than once; pass a staged one if it
+    is costly. With ``table``, a name in the catalog, old rows are found by its
+    partitions, and the partitions written are added to it.
+
+    Rows are counted on their way in and on their way to the files; the load fails where
+    the two disagree.
     """
     spark = df.sparkSession
     if mode not in MODES:
@@ -113,40 +115,50 @@ def load(
         require_columns(df, *shard, *keys)
     require_columns(df, *partition, *cluster)
 
-    if df.isEmpty():
+    rows_in = df.count()
+    if not rows_in:
         return Audit(path, mode)
+    deleted = kept = 0
     if mode == "insert" or not exists:
         written = write(df, path, "append", partition, cluster)
-        return Audit(path, mode, rows_in=written, rows_written=written)
-
-    scope = [*shard, *(k for k in keys if k not in shard)]
-    target = read_path(spark, path, df.schema)
-    by_partition = bool(partition) and set(partition) <= set(scope)
-    if by_partition:
-        target = _near(target, df, partition)
-    deleted = matching_count(target, df, scope).first()["matched"]
-    if set(scope) == set(partition):
-        written = _replace_partitions(df, path, scope, partition, cluster)
-    elif by_partition:
-        written = _rewrite_partitions(df, target, path, scope, partition, cluster)
     else:
-        written = _rewrite_table(df, target, path, scope, partition, cluster)
-    return Audit(path, mode, rows_in=written, rows_deleted=deleted, rows_written=written)
+        scope = [*shard, *(k for k in keys if k not in shard)]
+        target = spark.table(table) if table else read_path(spark, path, df.schema)
+        by_partition = bool(partition) and set(partition) <= set(scope)
+        if by_partition:
+            target = _near(target, df, partition)
+        deleted = matching_count(target, df, scope).first()["matched"]
+        if set(scope) == set(partition):
+            written = _replace_partitions(df, path, scope, partition, cluster)
+        elif by_partition:
+            written, there = _rewrite_partitions(df, target, path, scope, partition, cluster)
+            kept = there - deleted
+        else:
+            written, there = _rewrite_table(df, target, path, scope, partition, cluster)
+            kept = there - deleted
+    if written != rows_in + kept:
+        raise RuntimeError(f"{path}: {rows_in} rows in and {kept} kept, but {written} written")
+    if table and partition:
+        add_partitions(spark, table, df, partition)
+    return Audit(path, mode, rows_in=rows_in, rows_deleted=deleted, rows_written=written - kept)
 
 
 def _near(target: DataFrame, df: DataFrame, partition: Sequence[str]) -> DataFrame:
-    """Target rows within the new rows' bounds of every partition column. A reload of
-    some days or one shard then lists and opens only their folders."""
-    lows, highs = (df.agg(*(f(c) for c in partition)).first() for f in (F.min, F.max))
-    return target.where(
-        reduce(
-            and_,
-            (
-                F.col(c).isNull() | F.col(c).between(F.lit(low), F.lit(high))
-                for c, low, high in zip(partition, lows, highs)
-            ),
-        )
-    )
+    """Target rows within the new rows' bounds of every partition column, those without a
+    value only where the new rows have such. Of a table in the catalog only the folders
+    of these partitions are listed and opened; a path is listed whole first."""
+    wanted = [agg for c in partition for agg in (F.min(c), F.max(c), F.count_if(F.col(c).isNull()))]
+    bounds = list(df.agg(*wanted).first())
+    near = []
+    for at, c in enumerate(partition):
+        low, high, loose = bounds[3 * at : 3 * at + 3]
+        within = F.col(c) == F.lit(low) if low == high else F.col(c).between(F.lit(low), F.lit(high))
+        if low is None:
+            within = F.col(c).isNull()
+        elif loose:
+            within = within | F.col(c).isNull()
+        near.append(within)
+    return target.where(reduce(and_, near))
 
 
 def _null_in(columns: Sequence[str]):
@@ -163,32 +175,52 @@ def _replace_partitions(df, path, scope, partition, cluster) -> int:
     return keyed + write(loose, path, "append", partition, cluster)
 
 
-def _rewrite_partitions(df, target, path, scope, partition, cluster) -> int:
+def _rewrite_partitions(df, target, path, scope, partition, cluster) -> tuple[int, int]:
     """The partition is part of the key: only the partitions the new rows fall in are
     read and rewritten. Spark allows that for a dynamic overwrite, which moves the old
-    files away only at commit."""
+    files away only at commit. Returns rows written and rows there were."""
     touched = broadcast_if_small(df.select(*partition).distinct())
     same = reduce(and_, (target[c].eqNullSafe(touched[c]) for c in partition))
-    write(
-        upsert(target.join(touched, same, "left_semi"), df, scope),
-        path,
-        "replace",
-        partition,
-        cluster,
-    )
-    return df.count()
+    old = target.join(touched, same, "left_semi")
+    there = old.count()
+    return write(upsert(old, df, scope), path, "replace", partition, cluster), there
 
 
-def _rewrite_table(df, target, path, scope, partition, cluster) -> int:
-    """A key may be anywhere: the whole result is staged, then put in the table's place."""
-    result = stage(upsert(target, df, scope), "rewrite")
-    write(result, path, "overwrite", partition, cluster)
-    return df.count()
+def _rewrite_table(df, target, path, scope, partition, cluster) -> tuple[int, int]:
+    """A key may be anywhere: the whole result is written beside the table, then put in
+    its place. A write that fails leaves the table as it was."""
+    there = target.count()
+    return write_aside(upsert(target, df, scope), path, partition, cluster), there
 
 
-def load_table(df: DataFrame, warehouse: str, name: str, mode: str = "upsert") -> Audit:
-    """Load one of the known tables with its own schema, keys and layout."""
+def write_aside(
+    df: DataFrame,
+    path: str,
+    partition: Sequence[str] = (),
+    cluster: Sequence[str] = (),
+) -> int:
+    """Write a whole table beside ``path`` and put it in its place once it is whole."""
+    new = f"{path.rstrip('/')}_next-{uuid.uuid4().hex}"
+    try:
+        written = write(df, new, "append", partition, cluster)
+    except Exception:
+        delete_folder(df.sparkSession, new)
+        raise
+    put_in_place(df.sparkSession, new, path)
+    return written
+
+
+def load_table(
+    df: DataFrame, warehouse: str, name: str, mode: str = "upsert", database: str | None = None
+) -> Audit:
+    """Load one of the known tables with its own schema, keys and layout. With
+    ``database`` the table is created there if absent, and its partitions are kept."""
     table: Table = TABLES[name]
+    full_name = None
+    if database:
+        full_name = ensure_table(
+            df.sparkSession, database, warehouse, name, table.schema, table.partition
+        )
     return load(
         df.to(table.schema),
         f"{warehouse}/{name}",
@@ -197,24 +229,17 @@ def load_table(df: DataFrame, warehouse: str, name: str, mode: str = "upsert") -
         partition=table.partition,
         cluster=table.cluster,
         shard=table.shard,
+        table=full_name,
     )
 
 
 def register_tables(spark: SparkSession, warehouse: str, database: str) -> list[str]:
-    """Make the loaded tables readable by name: database and tables are created if absent."""
-    spark.sql(f"create database if not exists `{database}`")
+    """Make tables loaded by path readable by name: database and tables are created if
+    absent. Returns the names of those that hold something."""
     registered = []
     for name, table in TABLES.items():
-        path = f"{warehouse}/{name}"
-        if not table_exists(spark, path):
-            continue
-        full_name = f"`{database}`.`{name}`"
-        if not spark.catalog.tableExists(f"{database}.{name}"):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-            spark.sql(
-                f"create table {full_name} ({columns}) using parquet "
-                f"partitioned by ({', '.join(table.partition)}) location '{path}'"
-            )
-        spark.sql(f"alter table {full_name} recover partitions")
-        registered.append(name)
+        if table_exists(spark, f"{warehouse}/{name}"):
+            full_name = ensure_table(spark, database, warehouse, name, table.schema, table.partition)
+            spark.sql(f"alter table {full_name} recover partitions")
+            registered.append(name)
     return registered

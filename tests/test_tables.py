@@ -185,6 +185,9 @@ def test_only_near_partitions_are_read(spark, rows, tmp_path):
     load(table, str(tmp_path / "t"), "insert", partition=["p"])
     target = read_path(spark, str(tmp_path / "t"), table.schema)
     near = _near(target, table.where("p in ('b', 'c')"), ["p"])
+    assert rows(near, "p", "v") == sorted((r for r in data[1:] if r[0]), key=repr)
+    # rows without a partition are near where the new rows have some too
+    near = _near(target, table.where("p in ('b', 'c') or p is null"), ["p"])
     assert rows(near, "p", "v") == sorted(data[1:], key=repr)
     assert "PartitionFilters: [(isnull(p" in plan(near)
     assert rows(_near(target, table.where("p is null"), ["p"]), "p", "v") == [(None, 4)]
