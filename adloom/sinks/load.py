@@ -156,7 +156,7 @@ def _near(target: DataFrame, df: DataFrame, partition: Sequence[str]) -> DataFra
         if low is None:
             within = F.col(c).isNull()
         elif loose:
-            within = within | F.col(c).isNull()
+            within = F.col(c).isNull() | within
         near.append(within)
     return target.where(reduce(and_, near))
 
