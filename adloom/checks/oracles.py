@@ -340,6 +340,9 @@ ORACLES: dict[str, str] = {
     "stg_shard_files": with_ctes(
         f"select {columns(STAGED_COLUMNS['ad'])} from facts", facts=SHARDED_AD
     ),
+    "stg_shard_mixed": with_ctes(
+        f"select {columns(STAGED_COLUMNS['ad'])} from facts where date is not null", facts=SHARDED_AD
+    ),
     "stg_empty": with_ctes(
         f"select {columns(STAGED_COLUMNS['campaign'])} from facts", facts=SHARDED_CAMPAIGN
     ),

@@ -46,7 +46,7 @@ from adloom.sources.shards import (
     shard_of,
     union_shards,
 )
-from adloom.sources.tables import read_path, read_table
+from adloom.sources.tables import folders, put_in_place, read_path, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +256,21 @@ def stg_shard_files(spark, sf):
     return read_shard_files(spark, root, SHARD_PREFIX, "ad")
 
 
+def stg_shard_mixed(spark, sf):
+    """Month shards as writers that guess types leave them: results of odd days are whole
+    numbers, those of even days are not."""
+    root, prefix = work_folder(spark, "months"), SHARD_PREFIX
+    shard = shard_of(prefix, F.col("department"), F.col("account"), "ad", F.col("date"))
+    facts = stage(ad_facts(spark, sf).where("date is not null").withColumn("shard", shard))
+    for odd, kind in ((1, "bigint"), (0, "double")):
+        rows = facts.where(F.dayofmonth("date") % 2 == odd).drop("department", "account")
+        rows = rows.withColumns({"result": F.col("result").cast(kind), "date": F.col("date").cast("timestamp")})
+        rows.hint("rebalance", "shard").write.mode("append").partitionBy("shard").parquet(root)
+    for path in folders(spark, f"{root}/shard=*"):
+        put_in_place(spark, path, path.replace("/shard=", "/"))
+    return read_shard_files(spark, root, prefix, "ad")
+
+
 def stg_empty(spark, sf):
     """Staged facts and the typed empty relation of a prefix without shards."""
     return staged(campaign_facts(spark, sf), "campaign").unionByName(
@@ -579,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "shard_name_parts": shard_name_parts,
     "stg_union": stg_union,
     "stg_shard_files": stg_shard_files,
+    "stg_shard_mixed": stg_shard_mixed,
     "stg_empty": stg_empty,
     "mart_ad": mart_ad_query(BROADCAST_LIMIT),
     "mart_ad_large_dimensions": mart_ad_query(NO_BROADCAST),
