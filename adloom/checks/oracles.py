@@ -267,6 +267,36 @@ PIPELINE_AD_RERUN = {
         left join fx_ad_creative c using (ad_id)""",
 }
 
+BACKFILL_AD = {
+    **PIPELINE_AD,
+    "facts": PIPELINE_AD["facts"] + " where date between date '1996-01-01' and date '1996-03-31'",
+    "requested": "select distinct ad_id from facts where ad_id is not null",
+}
+# Both pipelines over February 1998: rows of every load, and ids asked for and answered.
+RUN_BOTH = {
+    "campaign_rows": """select * from fx_campaign_insights
+      where coalesce(try_cast(date_start as date), try_cast(date_stop as date))
+        between date '1998-02-01' and date '1998-02-28'""",
+    **BACKFILL_AD,
+    "facts": PIPELINE_AD["facts"] + " where date between date '1998-02-01' and date '1998-02-28'",
+    "campaign_ids": """select campaign_id from ad_rows where campaign_id is not null
+      union select campaign_id from campaign_rows where campaign_id is not null""",
+    "counted": """
+      select 'ad_insights' as item, count(*) as a, count(*) as b from facts
+      union all select 'ad_metadata', count(*), count(*) from ad_rows
+      union all select 'ad_creative', count(*), count(*) from creatives
+      union all select 'adset_metadata', count(*), count(*) from adsets
+      union all select 'campaign_metadata', count(*), count(*) from campaigns
+      union all select 'ads', (select count(*) from requested),
+        (select count(*) from requested where ad_id in (select ad_id from answered))
+      union all select 'ad_creatives', (select count(*) from requested),
+        (select count(*) from requested where ad_id in (select ad_id from fx_ad_creative))
+      union all select 'adsets', (select count(*) from adset_ids),
+        (select count(*) from adset_ids where adset_id in (select adset_id from fx_adset_metadata))
+      union all select 'campaigns', (select count(*) from campaign_ids),
+        (select count(*) from campaign_ids where campaign_id in (select campaign_id from fx_campaign_metadata))""",
+}
+
 AS_OF = "1998-03-15"
 RANGE_MODES = {
     "today": ("1998-03-15", "1998-03-15"),
@@ -478,4 +508,17 @@ ORACLES: dict[str, str] = {
         ),
         **PIPELINE_AD_RERUN,
     ),
+    "backfill_ad": with_ctes(
+        in_mart_order(
+            "ad", mart("ad", ad="ad_rows", campaign="campaigns", adset="adsets", creative="creatives")
+        ),
+        **BACKFILL_AD,
+    ),
+    "run_both": with_ctes(
+        """select 'ad_insights' as pipeline, * from counted
+          union all select 'campaign_insights', item, a, b from counted
+            where item in ('campaign_metadata', 'campaigns')
+          union all select 'campaign_insights', 'campaign_insights', count(*), count(*) from campaign_rows""",
+        **RUN_BOTH,
+    ),
 }

@@ -34,7 +34,15 @@ from adloom.operators.worklists import (
     union_attempts,
 )
 from adloom.plans.marts import ad_dimensions, campaign_dimensions, mart, staged, write_mart
-from adloom.plans.pipelines import Job, run_ad, run_campaign
+from adloom.plans.pipelines import (
+    AUDIT,
+    COVERAGE,
+    Job,
+    backfill,
+    run_ad,
+    run_campaign,
+    run_scheduled,
+)
 from adloom.schemas import MART_CLUSTER, MART_TABLES, TABLES
 from adloom.session import work_folder
 from adloom.sinks.load import load, load_table, stage
@@ -575,6 +583,29 @@ def pipeline_rerun(level: str) -> Query:
     return run
 
 
+def run_both_query(spark, sf):
+    """Both pipelines at once over the month before ``AS_OF``: their audit rows, and how
+    many ids of each entity were asked for and answered."""
+    job = landed_job(spark, sf, "ad")
+    land_insights(fixture(spark, sf, "fx_campaign_insights"), job.landing, "campaign")
+    outcome = run_scheduled(spark, job, "lastmonth", AS_OF)
+    for result in outcome.values():
+        if isinstance(result, Exception):
+            raise result
+    kept = spark.read.schema(AUDIT).parquet(f"{job.warehouse}/load_audit")
+    counts = spark.read.schema(COVERAGE).parquet(f"{job.warehouse}/fetch_coverage")
+    return kept.select(
+        "pipeline", F.col("table").alias("item"), F.col("rows_in").alias("a"), F.col("rows_written").alias("b")
+    ).unionAll(counts.select("pipeline", "entity", "requested", "received"))
+
+
+def backfill_ad(spark, sf):
+    """The ad pipeline over an explicit quarter."""
+    job = landed_job(spark, sf, "ad")
+    backfill(spark, job, "ad_insights", "1996-01-01", "1996-03-31")
+    return built_mart(spark, job, "ad")
+
+
 QUERIES: dict[str, Query] = {
     "src_ad_insights": source("ad"),
     "src_campaign_insights": source("campaign"),
@@ -642,4 +673,6 @@ QUERIES: dict[str, Query] = {
     "pipeline_ad": pipeline("ad"),
     "pipeline_campaign_rerun": pipeline_rerun("campaign"),
     "pipeline_ad_rerun": pipeline_rerun("ad"),
+    "run_both": run_both_query,
+    "backfill_ad": backfill_ad,
 }

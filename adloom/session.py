@@ -15,6 +15,9 @@ SETTINGS = {
 }
 
 
+# Read when the application starts: pipelines that run at once share the cluster evenly.
+START_SETTINGS = {"spark.scheduler.mode": "FAIR"}
+
 # For tables of many terabytes. Adaptive execution joins shuffle partitions but never
 # makes more than it starts with, so it starts with many; about 128 MB go to a task.
 CLUSTER_SETTINGS = {
@@ -37,7 +40,7 @@ def build_session(app: str = "adloom", master: str | None = None, **options: str
     if master:
         builder = builder.master(master)
     cluster = {} if (master or "").startswith("local") else CLUSTER_SETTINGS
-    for key, value in {**SETTINGS, **cluster, **options}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **cluster, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
