@@ -521,4 +521,28 @@ ORACLES: dict[str, str] = {
           union all select 'campaign_insights', 'campaign_insights', count(*), count(*) from campaign_rows""",
         **RUN_BOTH,
     ),
+    "load_audit_paths": with_ctes(
+        """select path, (select count(*) from fresh) as rows_in,
+            (select count(*) from target t where exists (select 1 from fresh n
+              where t.account_id = n.account_id and t.ad_id = n.ad_id)) as rows_deleted,
+            (select count(*) from fresh) as rows_written
+          from (values ('partitions'), ('table')) p(path)""",
+        **UPSERT_ENTITY,
+    ),
+    "retry_queue": with_ctes(
+        """select ad_id, 'asked' as kind, 1 as attempts, class, first_try as next_try from failed
+            where class = 'retryable'
+          union all select ad_id, 'left', 2, class, second_try from failed
+            where class = 'retryable' and cast(ad_id as bigint) % 3 = 0
+          union all select ad_id, 'left', 1, class, null from failed where class <> 'retryable'""",
+        requested=REQUESTED_ADS,
+        failed="""select ad_id, any_value(class) as class,
+            epoch(timestamp '1998-03-01 06:01:00')::bigint as first_try,
+            epoch(timestamp '1998-03-01 06:11:30')::bigint as second_try
+          from (select request_id as ad_id, case when error_code = 190 then 'token'
+              when http_status >= 500 or error_code in (1, 2, 4, 17, 80000) then 'retryable'
+              else 'fatal' end as class
+            from fx_responses where error_code is not null or http_status >= 400)
+          where ad_id in (select ad_id from requested) group by ad_id""",
+    ),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from adloom.operators.insights import (
     with_result,
 )
 from adloom.operators.metadata import transform_adset_metadata, transform_campaign_metadata
+from adloom.operators.retries import due, queue_after
 from adloom.operators.sizes import BROADCAST_LIMIT
 from adloom.operators.upsert import key_set, matching_count, matching_keys, upsert
 from adloom.operators.worklists import (
@@ -374,6 +375,20 @@ def load_upsert_entities(spark, sf):
     return read_table(spark, warehouse, "ad_metadata")
 
 
+def load_audit_paths(spark, sf):
+    """Counts of an upsert into touched partitions, and of one that rewrites a whole table."""
+    warehouse, path = work_folder(spark, "audit"), work_folder(spark, "audit-plain")
+    for rows in (good_ads(spark, sf), new_ads(spark, sf)):
+        audits = {
+            "partitions": load_table(in_one_shard(rows), warehouse, "ad_metadata"),
+            "table": load(rows, path, "upsert", keys=["account_id", "ad_id"]),
+        }
+    counts = [(k, a.rows_in, a.rows_deleted, a.rows_written) for k, a in audits.items()]
+    return spark.createDataFrame(
+        counts, "path string, rows_in bigint, rows_deleted bigint, rows_written bigint"
+    )
+
+
 def load_upsert_unpartitioned(spark, sf):
     path = work_folder(spark, "plain")
     rows = good_ads(spark, sf)
@@ -424,6 +439,32 @@ def failed_ids_query(spark, sf):
     return failed_ids(requested_ads(spark, sf), received, ["ad_id"])
 
 
+def retry_queue(spark, sf):
+    """Two runs of a fetch: what the second asks for again, and the queue after it. The service
+    answers or fails as the log of responses says; in the second run two of three that
+    failed before come through."""
+    on, first, second = ["ad_id"], datetime(1998, 3, 1, 6), datetime(1998, 3, 1, 6, 10)
+    log = fixture(spark, sf, "fx_responses").select(
+        F.col("request_id").alias("ad_id"), "http_status", "error_code",
+        error_class(F.col("http_status"), F.col("error_code")).alias("class"),
+    )
+    failures = log.where("error_code is not null or http_status >= 400")
+    wanted = requested_ads(spark, sf)
+    empty_queue = wanted.limit(0).selectExpr(
+        "ad_id", "0 as attempts", "'' as class", "cast(null as timestamp) as next_try"
+    )
+    asked = due(empty_queue, wanted, first, on)
+    received = failed_ids(asked, failures, on)
+    queue = stage(queue_after(empty_queue, asked, received, failures, first, on))
+    again = stage(due(queue, wanted.where("false"), second, on))  # nothing but the queue
+    passed = again.where(F.col("ad_id").cast("bigint") % 3 != 0)
+    left = queue_after(queue, again, passed, failures, second, on)
+    state = ("attempts", "class", F.unix_timestamp("next_try").alias("next_try"))
+    return again.join(queue, on).select("ad_id", F.lit("asked").alias("kind"), *state).unionAll(
+        left.select("ad_id", F.lit("left").alias("kind"), *state)
+    )
+
+
 def coverage_query(spark, sf):
     received = answered_ads(spark, sf)
     return coverage(requested_ads(spark, sf), received, ["ad_id"])
@@ -669,6 +710,8 @@ QUERIES: dict[str, Query] = {
     "load_upsert_entities": load_upsert_entities,
     "load_upsert_unpartitioned": load_upsert_unpartitioned,
     "load_audit": load_audit,
+    "load_audit_paths": load_audit_paths,
+    "retry_queue": retry_queue,
     "pipeline_campaign": pipeline("campaign"),
     "pipeline_ad": pipeline("ad"),
     "pipeline_campaign_rerun": pipeline_rerun("campaign"),
