@@ -14,7 +14,7 @@ cuts segments for long samples and drops short words. How telling a window must
 toxic dictionary is calibrated with the rest.
 
 Only training may sample: at most ``SAMPLE`` labelled rows a class, those smallest by hash,
-with texts of at most ``SAMPLE_BYTES``. Scoring takes whole texts of every row. A null or
+each with its whole text, however long, or with none. Scoring takes whole texts of every row. A null or
 empty text has no windows and gets the score of a text without evidence. A row without
 ``doc_id`` is scored like any other. Repeated rows score alike; a document labelled more
 than once is toxic where one label says so. Without labelled rows of both classes every
@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 from adloom.llm.words import plain_words
 
 SAMPLE = 2000
-SAMPLE_BYTES = 64 * 1024
 FOLDS = 5  # documents whose checksum leaves remainder 0 train nothing
 TOXIC_BYTES = 16 * 1024
 ORDINARY_BYTES = 64 * 1024
@@ -178,8 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
         rows = known.where(F.col("toxic") == label).orderBy(mixed, "doc_id").limit(sample)
         chosen = rows if chosen is None else chosen.unionAll(rows)
     texts = (
-        docs.select("doc_id", "text")
-        .where(F.octet_length("text").between(1, SAMPLE_BYTES))
+        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "doc_id")  # at most two samples of ids
         .orderBy(F.xxhash64("doc_id"), "text")
         .limit(2 * sample)
