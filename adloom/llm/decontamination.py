@@ -9,13 +9,15 @@ is left. An item is leaked where the marked words reach ``COVERAGE`` of it, in w
 order its parts stand in the document.
 
 Words are compared in lower case and without punctuation. Null and empty texts have none.
-Items shorter than a seed cannot be told from chance and are never reported. Rows that
+Letters of scripts that part no words are words of their own. An item shorter than a seed
+has one hash for all its words and is leaked where a document holds it whole. Rows that
 repeat are reported each; a null id is kept; an empty table of either kind gives no pairs.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -32,25 +34,42 @@ SEED_WORDS = 5
 COVERAGE = 0.5
 BLOCK_BYTES = 8 * 1024 * 1024  # text of the items compared at a time
 
+# Scripts written without blanks: Thai to Lao, Myanmar, Khmer, kana and Han.
+_UNPARTED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Plain words, and single letters of scripts without blanks."""
+    if text and not text.isascii() and _UNPARTED.search(text):
+        text = _UNPARTED.sub(r" \1 ", text)
+    return plain_words(text)
+
+
 Tile = tuple[int, int, int]  # first word in the document, in the item, words
 
 
 @dataclass(frozen=True)
 class Seeds:
-    """All seeds of a block of items, sorted by hash."""
+    """All seeds of a block of items, sorted by hash, and the items shorter than a seed:
+    by their number of words, hash and item."""
 
     hashes: np.ndarray
     item: np.ndarray
     at: np.ndarray
     lengths: list[int]
+    short: dict[int, dict[int, list[int]]]
 
 
 def seeds_of(texts: Sequence[str | None], seed_words: int = SEED_WORDS) -> Seeds:
     known, powers = WordHashes(), Powers()
     hashes, item, at, lengths = [], [], [], []
+    short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
     for i, text in enumerate(texts):
-        words = plain_words(text)
-        runs = RunHashes(hashes_of(words, known), powers).of(seed_words)
+        words = words_of(text)
+        own = RunHashes(hashes_of(words, known), powers)
+        runs = own.of(seed_words)
+        if 0 < len(words) < seed_words:
+            short[len(words)][int(own.of(len(words))[0])].append(i)
         hashes.append(runs)
         item.append(np.full(len(runs), i, np.int32))
         at.append(np.arange(len(runs), dtype=np.int32))
@@ -62,9 +81,21 @@ def seeds_of(texts: Sequence[str | None], seed_words: int = SEED_WORDS) -> Seeds
         np.concatenate(item)[order] if item else np.empty(0, np.int32),
         np.concatenate(at)[order] if at else np.empty(0, np.int32),
         lengths,
+        {n: dict(found) for n, found in short.items()},
     )
 
 
+def short_matches(own: RunHashes, seeds: Seeds) -> dict[int, int]:
+    """Where a document first holds each item shorter than a seed."""
+    found: dict[int, int] = {}
+    for n, items in seeds.short.items():
+        runs = own.of(n)
+        hits = np.flatnonzero(np.isin(runs, np.fromiter(items, np.uint64, len(items))))
+        for p in hits[::-1].tolist():
+            found.update(dict.fromkeys(items[int(runs[p])], p))
+    return found
+
+
 def seed_matches(runs: np.ndarray, seeds: Seeds) -> dict[int, list[tuple[int, int]]]:
     """Per item the (document, item) places of equal seeds."""
     found: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -162,10 +193,12 @@ def _with_block(rows: DataFrame, items: list, coverage: float) -> DataFrame:
     ids = [r["item_id"] for r in items]
 
     def leaked(text: str | None, known: WordHashes, powers: Powers) -> list[dict]:
-        runs = RunHashes(hashes_of(plain_words(text), known), powers).of(SEED_WORDS)
+        own = RunHashes(hashes_of(words_of(text), known), powers)
+        tiled = {i: tile(places) for i, places in seed_matches(own.of(SEED_WORDS), seeds).items()}
+        for i, p in short_matches(own, seeds).items():
+            tiled[i] = [(p, 0, seeds.lengths[i])]
         out = []
-        for i, places in sorted(seed_matches(runs, seeds).items()):
-            tiles = tile(places)
+        for i, tiles in sorted(tiled.items()):
             covered = sum(n for _, _, n in tiles)
             if covered >= coverage * seeds.lengths[i]:
                 out.append(

@@ -267,6 +267,13 @@ def test_leaks(spark, docs):
     )
     got = decontamination.leaked_pairs(docs, bench).select("doc_id", "item_id", "coverage").collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1.0), (2, 1, 1.0)]
+    short = [(5, "lonely WORDS, here"), (6, "three"), (7, "two one"), (8, "中文字测试题"), (9, "題")]
+    items = spark.createDataFrame(short, "item_id bigint, text string")
+    more = docs.select("doc_id", "text").unionAll(spark.createDataFrame([(70, "x中文字测试題y")], "doc_id bigint, text string"))
+    got = decontamination.leaked_pairs(more, items).select("doc_id", "item_id", "covered_words", "tiles").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(None, 5, 3, "0:0:3"), (6, 6, 1, "2:0:1"), (6, 6, 1, "2:0:1"), (70, 8, 5, "1:0:5"), (70, 9, 1, "6:0:1")], key=repr
+    )
     assert decontamination.leaked_pairs(docs, bench.limit(0)).count() == 0
 
 
