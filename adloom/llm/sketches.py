@@ -3,9 +3,9 @@
 Every shingle of five words is hashed to 64 bits, and every hash below a fixed fraction of
 the range is kept, so a sketch grows with its document and two sketches of very unequal
 documents can be compared: the share of one's hashes that the other has estimates its
-containment. A sketch also keeps its smallest hash, so that no text with words has an
-empty one. Sketches of parts merge to the sketch of the whole (up to shingles that span
-the parts) by union.
+containment. A text with words but no hash below the limit keeps its smallest one, which
+tells texts apart but says nothing of containment: that is null then. Sketches of parts
+merge to the sketch of the whole (up to shingles that span the parts).
 
 Words are in lower case, parted by ASCII white space; a shorter text is one shingle. A null
 text is empty and has an empty sketch; two empty sketches are alike (1), one is like no
@@ -24,10 +24,11 @@ from adloom.llm.common import running_total, staged
 from adloom.operators.sizes import broadcast_if_small
 
 SHINGLE_WORDS = 5
-FRACTION = 8  # one hash in so many is kept
+FRACTION = 4  # one hash in so many is kept
 _LIMIT = -(1 << 63) + (1 << 64) // FRACTION  # hashes are signed
 _SPACE = " \t\n\x0b\f\r"
 BUCKET_ROWS = 512  # neighbours that meet in one window
+UNEVEN = 8  # times as many before ranges are cut by rank, not by the width of ids
 
 
 def word_hashes(text: Column) -> Column:
@@ -50,7 +51,7 @@ def shingle_hashes(words: Column) -> Column:
 
 
 def kept_hashes(shingles: Column) -> Column:
-    """The sketch: hashes below the limit, and the smallest one, in order."""
+    """The sketch, in order: hashes below the limit, or the smallest one where none is."""
     low = F.filter(shingles, lambda h: h < _LIMIT)
     some = F.when(
         (F.size(low) == 0) & (F.size(shingles) > 0), F.array(F.array_min(shingles))
@@ -70,7 +71,8 @@ def with_sketch(rows: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def merged(a: Column, b: Column) -> Column:
-    return F.array_sort(F.array_union(a, b))
+    """Sketch of both texts together."""
+    return kept_hashes(F.array_union(a, b))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -80,10 +82,11 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def containment(part: Column, whole: Column) -> Column:
-    """Share of ``part``'s hashes that ``whole`` has."""
-    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(part, whole)) / F.size(part)
-    )
+    """Share of ``part``'s hashes below the limit that ``whole`` has: 1 for a part without
+    words, null (unknown) where its sketch has no hash below the limit."""
+    low = F.filter(part, lambda h: h < _LIMIT)
+    share = F.when(F.size(low) > 0, F.size(F.array_intersect(low, whole)) / F.size(low))
+    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(share)
 
 
 def as_text(sketch: Column) -> Column:
@@ -91,33 +94,46 @@ def as_text(sketch: Column) -> Column:
     return F.concat_ws("", F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))))
 
 
+def _in_ranges(known: DataFrame, bucket_rows: int) -> DataFrame:
+    """Rows with the ``bucket`` of their id: ranges of one width, or, where ids lie so
+    unevenly that one range would be crowded, of as many rows."""
+    lo, hi, n = known.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+    width = max(1, (hi - lo + 1) * bucket_rows // n) if n else 1
+    even = F.expr(f"doc_id div {width}")
+    most = known.groupBy(even).count().agg(F.max("count")).first()[0] or 0
+    if most <= UNEVEN * bucket_rows:
+        return known.withColumn("bucket", even)
+    ids = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = running_total(ids, [F.col("doc_id")], F.col("_rows"))
+    ranges = staged(ranked.select("doc_id", F.expr(f"before div {bucket_rows}").alias("bucket")), "id-ranges")
+    return known.join(ranges, "doc_id")
+
+
 def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, text, sketch) with ``next_text`` and ``next_sketch`` of the next document by
     descending doc_id, the first one for the last.
 
     Ids are cut into ranges of about ``bucket_rows`` documents, so texts are shuffled once
-    and sorted in small windows. A range's first document is also sent to the range before
-    it, whose last document it follows.
+    (twice where ids lie very unevenly) and sorted in small windows. A range's first document
+    is also sent to the range before it, whose last document it follows.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = rows.where(F.col("doc_id").isNotNull())
-    lo, hi, n = known.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    width = max(1, (hi - lo + 1) * bucket_rows // n) if n else 1
-    bucket = F.expr(f"doc_id div {width}")
-    firsts = known.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("doc_id"))
+    known = _in_ranges(rows.where(F.col("doc_id").isNotNull()), bucket_rows)
+    firsts = known.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"))
     placed = staged(running_total(firsts, [F.col("bucket")]), "first-of-range")
     above = placed.select(F.col("bucket").alias("bucket"), F.col("before").alias("_place"))
     heads = staged(
         placed.select("doc_id", F.expr("(before + 1) % total").alias("_place"))
         .join(above, "_place")
-        .select("doc_id", "bucket"),
+        .select("doc_id", F.col("bucket").alias("_before")),
         "range-heads",
     )
     # without an id: any even spread, no neighbour
-    own = F.coalesce(bucket, F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
-    real = rows.select("doc_id", "text", own.alias("bucket"), F.lit(True).alias("real"))
+    spread = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
+    lone = rows.where(F.col("doc_id").isNull()).select("doc_id", "text", spread.alias("bucket"))
+    real = known.select("doc_id", "text", "bucket").unionAll(lone).withColumn("real", F.lit(True))
     sent = known.join(broadcast_if_small(heads), "doc_id").select(
-        "doc_id", "text", "bucket", F.lit(False).alias("real")
+        "doc_id", "text", F.col("_before").alias("bucket"), F.lit(False).alias("real")
     )
     marked = with_sketch(real.unionAll(sent), "text", "sketch")
     unknown = F.col("doc_id").isNull()
