@@ -21,7 +21,7 @@ keep their rows. An empty table gives no rows; other columns are carried only wh
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +39,13 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGNED_CHARS = 8
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN_CHARS = 20
-TOKEN = rf"[A-Za-z0-9+/_-]{{{TOKEN_CHARS},}}"
 FDR = 0.01
 TEXT_COINCIDENCE = 0.065  # chance that two letters of ordinary prose are the same
 POWER = 4.0  # standard deviations that ordinary text must lie from random symbols
 STEPS = 20  # p-values are told apart to a twentieth of a power of ten
 MAX_STEP = 300 * STEPS
+CUT = 256  # values that one array is grown to
+PIECE = 4096  # code points in which a text to be redacted is cut
 
 _DIGITS, _SMALL = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
@@ -63,38 +63,98 @@ _FORMS = {
     "base64url": r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$",
 }
 
+def least_length(symbols: int) -> int:
+    """Shortest token at which ordinary text lies ``POWER`` deviations from random symbols."""
+    share = max(TEXT_COINCIDENCE, 3 / symbols)  # text in few symbols repeats them more
+    n = 2
+    while True:
+        excess = symbols * (1 + (n - 1) * share) - n - (symbols - 1)
+        if excess >= POWER * math.sqrt(2 * (symbols - 1) * (n - 1) / n):
+            return n
+        n += 1
+
+
+LEAST = {name: least_length(len(alphabet)) for name, alphabet in ALPHABETS.items()}
+TOKEN_CHARS = min(LEAST.values())
+# A whole run of symbols; every encoding needs a digit.
+TOKEN = (
+    rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{{{TOKEN_CHARS},}}"
+)
+
+
 SPAN = "array<struct<at:bigint,kind:int,until:bigint>>"
 FOUND = "array<struct<at:bigint,until:bigint,text:string>>"
+_LOW, _HIGH = -(1 << 62), 1 << 62
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, not once an element of what body walks."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, first: Column, together: Callable[[Column, Column], Column]) -> Column:
+    """Per value what all values before it come to, starting with ``first``.
+
+    Arrays grow by copying, so values are taken in cuts of ``CUT``: what comes before each
+    cut first, then what comes before each value of a cut. ``first`` must change nothing."""
+
+    def scan(part: Column, start: Column) -> Column:
+        none = F.slice(F.array(first), F.lit(1), F.lit(0))
+        return F.aggregate(
+            part,
+            F.struct(start.alias("sum"), none.alias("before")),
+            lambda done, x: F.struct(
+                together(done["sum"], x).alias("sum"),
+                F.concat(done["before"], F.array(done["sum"])).alias("before"),
+            ),
+            lambda done: done["before"],
+        )
+
+    def in_cuts(all_values: Column) -> Column:
+        cuts = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_values) - 1) / CUT).cast("int")),
+            lambda i: F.slice(all_values, i * CUT + 1, F.lit(CUT)),
+        )
+
+        def joined(parts: Column) -> Column:
+            sums = F.transform(parts, lambda part: F.aggregate(part, first, lambda x, y: together(x, y)))
+            return F.flatten(F.zip_with(parts, scan(sums, first), scan))
+
+        return _let(cuts, joined)
+
+    return F.when(F.size(values) == 0, F.slice(F.array(first), F.lit(1), F.lit(0))).otherwise(
+        _let(values, in_cuts)
+    )
 
 
 def matches(text: Column, pattern: str) -> Column:
     """All matches, leftmost first and not overlapping, with their places. What lies between
     matches is what splitting leaves; places are the lengths summed up."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
     pairs = F.zip_with(
-        between,
-        found,
+        F.split(text, pattern, -1),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, match: F.struct(
             F.char_length(gap).cast("bigint").alias("gap"),
-            F.char_length(match).cast("bigint").alias("size"),
+            F.coalesce(F.char_length(match), F.lit(0)).cast("bigint").alias("size"),
             match.alias("text"),
         ),
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast(FOUND).alias("spans"))
-
-    def step(done: Column, pair: Column) -> Column:
-        at = done["end"] + pair["gap"]
-        span = F.struct(at.alias("at"), (at + pair["size"]).alias("until"), pair["text"].alias("text"))
-        return F.struct(
-            (at + F.coalesce(pair["size"], F.lit(0))).alias("end"),
-            F.when(pair["text"].isNull(), done["spans"])
-            .otherwise(F.concat(done["spans"], F.array(span)))
-            .alias("spans"),
+
+    def placed(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda p: p["gap"] + p["size"])
+        before = _running(sizes, F.lit(0).cast("bigint"), lambda x, y: x + y)
+        spans = F.zip_with(
+            pairs,
+            before,
+            lambda p, start: F.struct(
+                (start + p["gap"]).alias("at"),
+                (start + p["gap"] + p["size"]).alias("until"),
+                p["text"].alias("text"),
+            ),
         )
+        return F.filter(spans, lambda m: m["text"].isNotNull()).cast(FOUND)
 
-    folded = F.aggregate(pairs, start, step, lambda done: done["spans"])
-    return F.when(text.rlike(pattern), folded).otherwise(F.array().cast(FOUND))
+    return F.when(text.rlike(pattern), _let(pairs, placed)).otherwise(F.array().cast(FOUND))
 
 
 def _as_spans(found: Column, kind: str) -> Column:
@@ -121,17 +181,6 @@ def base_spans(text: Column) -> Column:
     ).cast(SPAN)
 
 
-def least_length(symbols: int) -> int:
-    """Shortest token at which ordinary text lies ``POWER`` deviations from random symbols."""
-    share = max(TEXT_COINCIDENCE, 3 / symbols)  # text in few symbols repeats them more
-    n = TOKEN_CHARS
-    while True:
-        excess = symbols * (1 + (n - 1) * share) - n - (symbols - 1)
-        if excess >= POWER * math.sqrt(2 * (symbols - 1) * (n - 1) / n):
-            return n
-        n += 1
-
-
 def _tail(z: Column) -> Column:
     """Chance of a standard normal beyond |z|, both ways, as its common logarithm negated.
     By the asymptotic series' first term it stays finite where the chance underflows."""
@@ -183,39 +232,76 @@ def _test(symbols_of: Column, alphabet: str) -> Column:
     return F.greatest(best - math.log10(3), F.lit(0.0))
 
 
+def _evidence(symbols: Column, alphabet: str) -> Column:
+    return _let(symbols, lambda x: _test(x, alphabet))
+
+
+def _symbols(text: Column, alphabet: str) -> Column:
+    """The place of each letter in the alphabet, from 1."""
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.transform(letters, lambda c: F.instr(F.lit(alphabet), c))
+
+
 def _tested(token: Column) -> Column:
     """(at, until, group, against) of a token; null where no encoding is inferred."""
     size = F.char_length(token["text"])
     group, against = F.lit(None).cast("string"), F.lit(None).cast("double")
     for name in reversed(ALPHABETS):
         alphabet = ALPHABETS[name]
-        symbols = F.transform(
-            F.filter(F.split(token["text"], ""), lambda c: c != ""),
-            lambda c, a=alphabet: F.instr(F.lit(a), c),
-        )
-        fits = token["text"].rlike(_FORMS[name]) & (size >= least_length(len(alphabet)))
+        symbols = _symbols(token["text"], alphabet)
+        fits = token["text"].rlike(_FORMS[name]) & (size >= LEAST[name])
         length = F.floor(F.log2(size) * 2).cast("string")
         group = F.when(fits, F.concat(F.lit(f"{name}:"), length)).otherwise(group)
-        against = F.when(fits, _test(symbols, alphabet)).otherwise(against)
+        against = F.when(fits, _evidence(symbols, alphabet)).otherwise(against)
     step = F.least(F.floor(against * STEPS), F.lit(MAX_STEP)).cast("int")
     return F.struct(
         token["at"].alias("at"), token["until"].alias("until"), group.alias("group"), step.alias("step")
     )
 
 
+def _apart(tokens: Column, base: Column) -> Column:
+    """Tokens that meet no base span. Both are put in one order: a token meets a span where
+    one before it ends behind the token's start, or the next one starts before its end."""
+    text = F.lit(None).cast("string")
+    events = F.array_sort(
+        F.concat(
+            F.transform(base, lambda b: F.struct(b["at"], b["until"], text.alias("text"))).cast(FOUND),
+            tokens,
+        )
+    )
+
+    def judged(events: Column) -> Column:
+        ends = F.transform(events, lambda e: F.when(e["text"].isNull(), e["until"]).otherwise(F.lit(_LOW)))
+        starts = F.transform(
+            F.reverse(events), lambda e: F.when(e["text"].isNull(), e["at"]).otherwise(F.lit(_HIGH))
+        )
+        behind = _running(ends, F.lit(_LOW), F.greatest)
+        ahead = F.reverse(_running(starts, F.lit(_HIGH), F.least))
+        limits = F.zip_with(behind, ahead, lambda x, y: F.struct(x.alias("behind"), y.alias("ahead")))
+        free = F.zip_with(
+            events,
+            limits,
+            lambda e, near: F.when(
+                (near["behind"] <= e["at"]) & (near["ahead"] >= e["until"]) & e["text"].isNotNull(), e
+            ),
+        )
+        return F.filter(free, lambda e: e.isNotNull())
+
+    return F.when((F.size(base) == 0) | (F.size(tokens) == 0), tokens).otherwise(_let(events, judged))
+
+
 def with_findings(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One pass over the texts: the columns to carry, base spans, and tested tokens."""
     rows = docs.select(*dict.fromkeys([*carry, "text"])).withColumn(
         "_text", F.coalesce("text", F.lit(""))
     )
-    tokens = F.filter(
-        F.col("_tokens"),
-        lambda t: ~F.exists("_base", lambda b: (b["at"] < t["until"]) & (t["at"] < b["until"])),
-    )
     return (
         rows.withColumn("_base", base_spans(F.col("_text")))
         .withColumn("_tokens", matches(F.col("_text"), TOKEN))
-        .withColumn("_tested", F.filter(F.transform(tokens, _tested), lambda t: t["group"].isNotNull()))
+        .withColumn("_free", _apart(F.col("_tokens"), F.col("_base")))
+        .withColumn(
+            "_tested", F.filter(F.transform("_free", _tested), lambda t: t["group"].isNotNull())
+        )
         .select(*carry, "_base", "_tested")
     )
 
@@ -290,25 +376,29 @@ def count_of(spans: Column, kind: str) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, or run of overlapping spans, replaced by a mark."""
-    start = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit("").alias("out"))
-
-    def step(done: Column, span: Column) -> Column:
-        plain = F.substring(
-            text,
-            (done["end"] + 1).cast("int"),
-            F.greatest(span["at"] - done["end"], F.lit(0)).cast("int"),
-        )
-        fresh = (span["at"] >= done["end"]) | (done["end"] == 0)
-        return F.struct(
-            F.greatest(done["end"], span["until"]).alias("end"),
-            F.when(fresh, F.concat(done["out"], plain, F.lit(mark))).otherwise(done["out"]).alias("out"),
-        )
-
-    def rest(done: Column) -> Column:
-        return F.concat(
-            done["out"],
-            F.substring(text, (done["end"] + 1).cast("int"), F.char_length(text)),
+    """The text with every span, or run of overlapping spans, replaced by a mark. The text is
+    cut into pieces once, so that a span costs its own pieces and not the whole text."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        count = F.floor(end / PIECE).cast("int") - first + 1
+        near = F.array_join(F.slice(pieces, first + 1, count), "")
+        return F.substring(near, (start - F.lit(PIECE) * first + 1).cast("int"), (end - start).cast("int"))
+
+    def cleaned(bound: Column) -> Column:
+        whole, found = bound["pieces"], bound["spans"]
+        ends = F.transform(found, lambda s: s["until"])
+        before = _running(ends, F.lit(0).cast("bigint"), F.greatest)
+        plain = F.zip_with(
+            found,
+            before,
+            lambda s, end: F.when(
+                (s["at"] >= end) | (end == 0), F.concat(between(whole, end, s["at"]), F.lit(mark))
+            ),
         )
+        last = F.array(between(whole, F.array_max(ends), F.char_length(text).cast("bigint")))
+        return F.array_join(F.concat(plain, last), "")
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    bound = F.struct(pieces.alias("pieces"), spans.alias("spans"))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(bound, cleaned))
