@@ -172,9 +172,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> Data
         .mapInArrow(lengths, "text string, payload binary")
     )
 
+    longest = clean.agg(F.max(F.char_length("host"))).first()[0] or 0
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rule_arrays, host_arrays = _opened(full), _opened(hosts)
-        longest = max((len(t.as_py()) for a in host_arrays.arrays for t in a.text), default=0)
         for batch in batches:
             urls = list(zip(batch["host"].to_pylist(), batch["path"].to_pylist()))
             suffixes = [(i, s) for i, (host, _) in enumerate(urls) for s in _suffixes(host, longest)]
