@@ -7,7 +7,7 @@ import xxhash
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CACHED_WORDS = 1 << 20
+_CACHED_WORDS = 1 << 16  # about 10 MB of a worker
 
 
 class WordHashes(dict):
