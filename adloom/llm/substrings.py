@@ -1,12 +1,18 @@
 """Repeated word runs across documents, by prefix-partitioned suffix trees.
 
-Every window of ``WINDOW`` words starts a suffix. Suffixes that could repeat are split by
-their prefix into groups that fit a task's memory: the prefix is ``DEPTHS[0]`` words long,
-and longer for groups that would grow too large. A group's suffixes are sorted, which lays
-its subtree out depth first, and the nodes at ``WINDOW`` words or deeper that join several
-documents are the repeats; neighbouring ones make up a maximal repeat. A prefix that is
-hot down to its full depth is one such node: only its smallest document is needed, which
-is aggregated before anything is shuffled.
+Every window of ``WINDOW`` words starts a suffix, of which the first ``WINDOW`` words count.
+Suffixes that could repeat are split by their prefix into groups that fit a task's memory:
+the prefix is ``DEPTHS[0]`` words long, and the next of ``DEPTHS`` for the groups that would
+still hold more than ``GROUP_ROWS``, step by step. A group's suffixes are sorted by the
+hashes of their prefixes at all depths, which lays its subtree out depth first: what two
+neighbours share is the depth of their lowest common node. The internal nodes as deep as a
+window that join several documents are the repeats. A prefix still hot at the last depth is
+split into its deepest nodes themselves, of which only the smallest place is needed; that is
+aggregated before anything is shuffled. Neighbouring windows whose first places are neighbours
+too make up one long repeat (``long_repeats``).
+
+Inner nodes are told apart by 64-bit hashes, which cannot join what differs below them. The
+deepest nodes hold equal words by 128 bits of the SHA-256 of the words themselves.
 
 Which suffixes could repeat is decided exactly beforehand. The smallest ``GRAM``-word hash
 in a window is its anchor; equal windows have equal anchors, so a window whose anchor lies
@@ -26,8 +32,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from adloom.llm.common import shuffle_partitions, staged
 from adloom.llm.words import (
@@ -42,8 +49,8 @@ from adloom.operators.sizes import broadcast_if_small
 
 WINDOW = 50
 GRAM = 10
-DEPTHS = (10, 50)
-GROUP_ROWS = 20_000  # suffixes of a group; under 1 MB
+DEPTHS = (10, 20, 30, 40)  # words of a prefix
+GROUP_ROWS = 20_000  # suffixes of a group; 1.5 MB
 
 
 def _anchors(runs: RunHashes, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,84 +101,160 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _levels(window: int) -> list[str]:
+    """Columns of the prefixes shorter than a window, the shortest first."""
+    return [f"prefix_{depth}" for depth in DEPTHS if depth < window]
+
+
+_NODE = ["words_high", "words_low"]  # of the deepest node: what a window's words are
+
+
+def _digests(words: list[bytes], at: np.ndarray, window: int) -> np.ndarray:
+    """Two numbers that stand for the words of each window: a row per place."""
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    parts = (
+        hashlib.sha256(line[a:b]).digest()[:16]
+        for a, b in zip(starts[at].tolist(), ends[at + window - 1].tolist())
+    )
+    return np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
+
+
 def suffixes(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Suffixes whose anchor is shared: their place and the hashes of their prefixes.
-    ``candidates`` has doc_id, text_key, text and the shared anchors of each document."""
+    """Suffixes whose anchor is shared: their place, the hashes of their prefixes and the
+    digest of their words. ``candidates`` has doc_id, text_key, text and the shared anchors
+    of each document."""
+    depths = [depth for depth in DEPTHS if depth < window]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, powers = WordHashes(), Powers()
         for batch in batches:
             for i, text in enumerate(batch["text"]):
-                runs = RunHashes(hashes_of((text.as_py() or "").encode().split(), known), powers)
+                words = (text.as_py() or "").encode().split()
+                runs = RunHashes(hashes_of(words, known), powers)
                 least, _ = _anchors(runs, window, gram)
                 shared = batch["shared"][i].values.to_numpy(zero_copy_only=False)
                 at = np.nonzero(np.isin(least, shared.view(np.uint64)))[0]
                 if not len(at):
                     continue
                 row = pa.array(np.full(len(at), i, np.int32))
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch["doc_id"].take(row),
-                        "text_key": batch["text_key"].take(row),
-                        "at": pa.array(at.astype(np.int32)),
-                        "prefix": pa.array(runs.of(DEPTHS[0])[at].view(np.int64)),
-                        "whole": pa.array(runs.of(window)[at].view(np.int64)),
-                    }
-                )
+                digests = _digests(words, at, window)
+                columns = {
+                    "doc_id": batch["doc_id"].take(row),
+                    "text_key": batch["text_key"].take(row),
+                    "at": pa.array(at.astype(np.int32)),
+                }
+                for name, depth in zip(_levels(window), depths):
+                    columns[name] = pa.array(runs.of(depth)[at].view(np.int64))
+                for k, name in enumerate(_NODE):
+                    columns[name] = pa.array(np.ascontiguousarray(digests[:, k]))
+                yield pa.record_batch(columns)
 
+    hashed = "".join(f", {name} bigint" for name in [*_levels(window), *_NODE])
     return candidates.select("doc_id", "text_key", "text", "shared").mapInArrow(
-        run, "doc_id bigint, text_key bigint, at int, prefix bigint, whole bigint"
+        run, f"doc_id bigint, text_key bigint, at int{hashed}"
     )
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walk sorted suffixes: a run of equal ``whole`` is a node at full depth, its first
-    suffix is in its smallest document, and those of other documents repeat it. Only the
-    node that a batch ends in is carried over."""
-    node, smallest = None, None
-    for batch in batches:
-        whole = batch["whole"].to_numpy()
-        docs = batch["doc_id"].to_numpy()
-        new = np.ones(len(whole), bool)
-        new[1:] = whole[1:] != whole[:-1]
-        if len(whole) and node is not None and whole[0] == node:
-            new[0] = False
-        first = docs[np.maximum.accumulate(np.where(new, np.arange(len(whole)), 0))]
-        if len(whole) and not new[0]:
-            carried = np.cumsum(new) == 0
-            first[carried] = smallest
-        if len(whole):
-            node, smallest = whole[-1], first[-1]
-        repeated = pa.array(docs > first)
-        yield batch.filter(repeated).select(["doc_id", "text_key", "at"])
+def shared_depth(columns: list[np.ndarray], before: list[int] | None) -> np.ndarray:
+    """How many levels each sorted suffix shares with the one before it; ``before`` is the
+    suffix ahead of the first one."""
+    depth = np.zeros(len(columns[0]), np.int64)
+    same = np.ones(len(depth), bool)
+    for k, column in enumerate(columns):
+        same[1:] &= column[1:] == column[:-1]
+        same[0] &= before is not None and before[k] == column[0]
+        depth += same
+    return depth
 
 
-_PLACE = "doc_id bigint, text_key bigint, at int"
+def _walk(levels: list[str]):
+    """Read a sorted group as its tree: neighbours that share all levels are leaves of one
+    node as deep as a window. Its first leaf lies in its smallest document; those of other
+    documents repeat it. Only the last leaf and its node's first one are carried over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, first_doc, first_at = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch[name].to_numpy() for name in levels]
+            docs, places = batch["doc_id"].to_numpy(), batch["at"].to_numpy()
+            opens = shared_depth(columns, last) < len(levels)
+            first = np.maximum.accumulate(np.where(opens, np.arange(len(docs)), -1))
+            smallest = np.where(first < 0, first_doc, docs[first])
+            start = np.where(first < 0, first_at, places[first])
+            last = [column[-1] for column in columns]
+            first_doc, first_at = smallest[-1], start[-1]
+            repeated = pa.array(docs > smallest)
+            yield pa.record_batch(
+                {
+                    "doc_id": batch["doc_id"],
+                    "text_key": batch["text_key"],
+                    "at": batch["at"],
+                    "first_doc": pa.array(smallest.astype(np.int64)),
+                    "first_at": pa.array(start.astype(np.int32)),
+                }
+            ).filter(repeated)
+
+    return run
+
+
+_PLACES = ["doc_id", "text_key", "at", "first_doc", "first_at"]
 
 
 def repeated_windows(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(doc_id, text_key, at) of windows that a smaller document has too."""
-    spark = found.sparkSession
-    large = staged(
-        found.groupBy("prefix").count().where(F.col("count") > group_rows).select("prefix"), "hot-prefixes"
+    """(doc_id, text_key, at) of windows that a smaller document has too, with the smallest
+    place that has them, (first_doc, first_at)."""
+    levels = [name for name in found.columns if name.startswith("prefix_")]
+    rest, groups = found, None
+    for name in levels:
+        hot = staged(
+            rest.groupBy(name).count().where(F.col("count") > group_rows).select(name), "hot-prefixes"
+        )
+        hot_prefix = broadcast_if_small(hot)
+        settled = rest.join(hot_prefix, name, "left_anti").withColumn("_group", F.col(name))
+        groups = settled if groups is None else groups.unionByName(settled)
+        rest = rest.join(hot_prefix, name, "left_semi")
+        if hot.isEmpty():
+            break
+    place = F.struct(F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"))
+    nodes = rest.groupBy(*_NODE).agg(F.min(place).alias("_first"), F.max("doc_id").alias("_last"))
+    found_hot = (
+        rest.join(nodes.where("_first.first_doc < _last").drop("_last"), _NODE)
+        .where("doc_id > _first.first_doc")
+        .select("doc_id", "text_key", "at", "_first.*")
     )
-    hot_prefix = broadcast_if_small(large)
-    # lengthened prefixes of the large groups; at full depth the node itself is known
-    deep = found.join(hot_prefix, "prefix", "left_semi")
-    nodes = deep.groupBy("whole").agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("_last"))
-    from_hot = (
-        deep.join(nodes.where("smallest < _last").drop("_last"), "whole")
-        .where("doc_id > smallest")
-        .select("doc_id", "text_key", "at")
+    if groups is None:
+        return found_hot
+    order = [*levels, *_NODE]
+    return (
+        groups.repartition(shuffle_partitions(found.sparkSession), "_group")
+        .sortWithinPartitions("_group", *order, "doc_id", "at")
+        .mapInArrow(
+            _walk(order), "doc_id bigint, text_key bigint, at int, first_doc bigint, first_at int"
+        )
+        .unionByName(found_hot)
     )
-    from_groups = (
-        found.join(hot_prefix, "prefix", "left_anti")
-        .select("doc_id", "text_key", "at", "prefix", "whole")
-        .repartition(shuffle_partitions(spark), "prefix")
-        .sortWithinPartitions("prefix", "whole", "doc_id")
-        .mapInArrow(_subtrees, _PLACE)
+
+
+def long_repeats(windows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Windows that follow one another both in their document and at their first places,
+    joined: doc_id, text_key, start, words, first_doc, first_start. Each is as long as it can
+    be; a document's windows meet in one task, the others' do not."""
+    along = F.col("at") - F.col("first_at")
+    mine = Window.partitionBy("doc_id", "text_key", "first_doc", "_along").orderBy("at")
+    rows = windows.select(*_PLACES).distinct().withColumn("_along", along)
+    return (
+        rows.withColumn("_run", F.col("at") - F.row_number().over(mine))
+        .groupBy("doc_id", "text_key", "first_doc", "_along", "_run")
+        .agg(F.min("at").alias("start"), (F.max("at") - F.min("at") + window).alias("words"))
+        .select(
+            "doc_id", "text_key", "start", "words", "first_doc",
+            (F.col("start") - F.col("_along")).alias("first_start"),
+        )
     )
-    return from_groups.unionAll(from_hot)
 
 
 def _earlier_copies(facts: DataFrame, window: int) -> DataFrame:
@@ -188,9 +271,8 @@ def _earlier_copies(facts: DataFrame, window: int) -> DataFrame:
     )
 
 
-def removed_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Per (doc_id, text_key) with something to remove: ``copy`` (all of it), or the starts
-    ``at`` of the windows an earlier document has."""
+def shared_suffixes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """The suffixes that could repeat, and (doc_id, text_key) of whole copies, which give none."""
     facts = staged(word_facts(docs, window, gram), "word-facts")
     marked = staged(
         _earlier_copies(facts.drop("anchors"), window).select("doc_id", "text_key", "copy").distinct(),
@@ -218,7 +300,13 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         "candidates",
     )
     texts = _keyed(docs).join(of_doc, ["doc_id", "text_key"])
-    found = staged(suffixes(texts, window, gram), "suffixes")
+    return staged(suffixes(texts, window, gram), "suffixes"), copies
+
+
+def removed_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """Per (doc_id, text_key) with something to remove: ``copy`` (all of it), or the starts
+    ``at`` of the windows an earlier document has."""
+    found, copies = shared_suffixes(docs, window, gram)
     windows = repeated_windows(found).groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("at"))
     return windows.unionByName(
         copies.withColumn("at", F.lit(None).cast("array<int>"))
