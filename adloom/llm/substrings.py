@@ -11,8 +11,9 @@ split into its deepest nodes themselves, of which only the smallest place is nee
 aggregated before anything is shuffled. Neighbouring windows whose first places are neighbours
 too make up one long repeat (``long_repeats``).
 
-Inner nodes are told apart by 64-bit hashes, which cannot join what differs below them. The
-deepest nodes hold equal words by 128 bits of the SHA-256 of the words themselves.
+A suffix's path through the inner nodes is one number, ``BITS`` of a hash for each depth; two
+inner nodes that share their bits are read as one, which joins nothing below them. The deepest
+nodes hold equal words by 128 bits of the SHA-256 of the words themselves.
 
 Which suffixes could repeat is decided exactly beforehand. The smallest ``GRAM``-word hash
 in a window is its anchor; equal windows have equal anchors, so a window whose anchor lies
@@ -49,8 +50,10 @@ from adloom.operators.sizes import broadcast_if_small
 
 WINDOW = 50
 GRAM = 10
-DEPTHS = (10, 20, 30, 40)  # words of a prefix
-GROUP_ROWS = 20_000  # suffixes of a group; 1.5 MB
+DEPTHS = (10, 20, 40)  # words of a prefix
+BITS = (32, 16, 16)  # of the path, for each depth
+AFTER = (32, 16, 0)  # bits of the path behind those of each depth
+GROUP_ROWS = 20_000  # suffixes of a group; about 1 MB
 
 
 def _anchors(runs: RunHashes, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,9 +104,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _levels(window: int) -> list[str]:
-    """Columns of the prefixes shorter than a window, the shortest first."""
-    return [f"prefix_{depth}" for depth in DEPTHS if depth < window]
+def _paths(runs: RunHashes, at: np.ndarray, window: int) -> np.ndarray:
+    """The first words of each suffix as one number, the shortest prefix in the highest bits;
+    depths that are no shorter than a window have no bits set."""
+    path = np.zeros(len(at), np.uint64)
+    for depth, bits, after in zip(DEPTHS, BITS, AFTER):
+        if depth < window:
+            path |= runs.of(depth)[at] >> np.uint64(64 - bits) << np.uint64(after)
+    return path.view(np.int64)
 
 
 _NODE = ["words_high", "words_low"]  # of the deepest node: what a window's words are
@@ -122,10 +130,8 @@ def _digests(words: list[bytes], at: np.ndarray, window: int) -> np.ndarray:
 
 
 def suffixes(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Suffixes whose anchor is shared: their place, the hashes of their prefixes and the
-    digest of their words. ``candidates`` has doc_id, text_key, text and the shared anchors
-    of each document."""
-    depths = [depth for depth in DEPTHS if depth < window]
+    """Suffixes whose anchor is shared: their place, their path and the digest of their words.
+    ``candidates`` has doc_id, text_key, text and the shared anchors of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, powers = WordHashes(), Powers()
@@ -144,14 +150,13 @@ def suffixes(candidates: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                     "doc_id": batch["doc_id"].take(row),
                     "text_key": batch["text_key"].take(row),
                     "at": pa.array(at.astype(np.int32)),
+                    "path": pa.array(_paths(runs, at, window)),
                 }
-                for name, depth in zip(_levels(window), depths):
-                    columns[name] = pa.array(runs.of(depth)[at].view(np.int64))
                 for k, name in enumerate(_NODE):
                     columns[name] = pa.array(np.ascontiguousarray(digests[:, k]))
                 yield pa.record_batch(columns)
 
-    hashed = "".join(f", {name} bigint" for name in [*_levels(window), *_NODE])
+    hashed = "".join(f", {name} bigint" for name in ["path", *_NODE])
     return candidates.select("doc_id", "text_key", "text", "shared").mapInArrow(
         run, f"doc_id bigint, text_key bigint, at int{hashed}"
     )
@@ -169,36 +174,33 @@ def shared_depth(columns: list[np.ndarray], before: list[int] | None) -> np.ndar
     return depth
 
 
-def _walk(levels: list[str]):
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Read a sorted group as its tree: neighbours that share all levels are leaves of one
     node as deep as a window. Its first leaf lies in its smallest document; those of other
     documents repeat it. Only the last leaf and its node's first one are carried over."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first_doc, first_at = None, 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch[name].to_numpy() for name in levels]
-            docs, places = batch["doc_id"].to_numpy(), batch["at"].to_numpy()
-            opens = shared_depth(columns, last) < len(levels)
-            first = np.maximum.accumulate(np.where(opens, np.arange(len(docs)), -1))
-            smallest = np.where(first < 0, first_doc, docs[first])
-            start = np.where(first < 0, first_at, places[first])
-            last = [column[-1] for column in columns]
-            first_doc, first_at = smallest[-1], start[-1]
-            repeated = pa.array(docs > smallest)
-            yield pa.record_batch(
-                {
-                    "doc_id": batch["doc_id"],
-                    "text_key": batch["text_key"],
-                    "at": batch["at"],
-                    "first_doc": pa.array(smallest.astype(np.int64)),
-                    "first_at": pa.array(start.astype(np.int32)),
-                }
-            ).filter(repeated)
-
-    return run
+    last, first_doc, first_at = None, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path = batch["path"].to_numpy()
+        columns = [*(path >> after for after in AFTER), *(batch[name].to_numpy() for name in _NODE)]
+        docs, places = batch["doc_id"].to_numpy(), batch["at"].to_numpy()
+        opens = shared_depth(columns, last) < len(columns)
+        first = np.maximum.accumulate(np.where(opens, np.arange(len(docs)), -1))
+        smallest = np.where(first < 0, first_doc, docs[first])
+        start = np.where(first < 0, first_at, places[first])
+        last = [column[-1] for column in columns]
+        first_doc, first_at = smallest[-1], start[-1]
+        repeated = pa.array(docs > smallest)
+        yield pa.record_batch(
+            {
+                "doc_id": batch["doc_id"],
+                "text_key": batch["text_key"],
+                "at": batch["at"],
+                "first_doc": pa.array(smallest.astype(np.int64)),
+                "first_at": pa.array(start.astype(np.int32)),
+            }
+        ).filter(repeated)
 
 
 _PLACES = ["doc_id", "text_key", "at", "first_doc", "first_at"]
@@ -207,16 +209,18 @@ _PLACES = ["doc_id", "text_key", "at", "first_doc", "first_at"]
 def repeated_windows(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, text_key, at) of windows that a smaller document has too, with the smallest
     place that has them, (first_doc, first_at)."""
-    levels = [name for name in found.columns if name.startswith("prefix_")]
     rest, groups = found, None
-    for name in levels:
+    for after in AFTER:
+        prefixes = rest.select("*", F.shiftright("path", after).alias("_prefix"))
         hot = staged(
-            rest.groupBy(name).count().where(F.col("count") > group_rows).select(name), "hot-prefixes"
+            prefixes.groupBy("_prefix").count().where(F.col("count") > group_rows).select("_prefix"),
+            "hot-prefixes",
         )
         hot_prefix = broadcast_if_small(hot)
-        settled = rest.join(hot_prefix, name, "left_anti").withColumn("_group", F.col(name))
+        settled = prefixes.join(hot_prefix, "_prefix", "left_anti").drop("_prefix")
+        settled = settled.withColumn("_after", F.lit(after).cast("byte"))
         groups = settled if groups is None else groups.unionByName(settled)
-        rest = rest.join(hot_prefix, name, "left_semi")
+        rest = prefixes.join(hot_prefix, "_prefix", "left_semi").drop("_prefix")
         if hot.isEmpty():
             break
     place = F.struct(F.col("doc_id").alias("first_doc"), F.col("at").alias("first_at"))
@@ -226,15 +230,11 @@ def repeated_windows(found: DataFrame, group_rows: int = GROUP_ROWS) -> DataFram
         .where("doc_id > _first.first_doc")
         .select("doc_id", "text_key", "at", "_first.*")
     )
-    if groups is None:
-        return found_hot
-    order = [*levels, *_NODE]
+    group = F.expr("shiftright(path, cast(_after as int))")
     return (
-        groups.repartition(shuffle_partitions(found.sparkSession), "_group")
-        .sortWithinPartitions("_group", *order, "doc_id", "at")
-        .mapInArrow(
-            _walk(order), "doc_id bigint, text_key bigint, at int, first_doc bigint, first_at int"
-        )
+        groups.repartition(shuffle_partitions(found.sparkSession), "_after", group)
+        .sortWithinPartitions("_after", "path", *_NODE, "doc_id", "at")
+        .mapInArrow(_walk, "doc_id bigint, text_key bigint, at int, first_doc bigint, first_at int")
         .unionByName(found_hot)
     )
 

@@ -82,15 +82,15 @@ def test_prefixes_grow_only_where_they_are_hot(spark, talk):
     docs = spark.createDataFrame(talk, "doc_id bigint, text string")
     found, _ = substrings.shared_suffixes(docs, WINDOW, GRAM)
     rows = found.collect()
-    assert [c for c in found.columns if c.startswith("prefix_")] == ["prefix_10", "prefix_20"]
+    assert not any(r["path"] & 0xFFFF for r in rows)  # forty words are more than a window
     text = {i: (t or "").split() for i, t in talk if i is not None}
-    for depth in (10, 20):  # equal hashes are equal words, and the other way round
-        of = Counter((r[f"prefix_{depth}"], tuple(text[r["doc_id"]][r["at"] : r["at"] + depth])) for r in rows)
+    for depth, after in ((10, 32), (20, 16)):  # equal paths are equal words, and the other way round
+        of = Counter((r["path"] >> after, tuple(text[r["doc_id"]][r["at"] : r["at"] + depth])) for r in rows)
         assert len({h for h, _ in of}) == len({w for _, w in of}) == len(of)
 
 
 def test_tree_over_batches():
-    levels = ["prefix_10", "words_high", "words_low"]
+    levels = ["path", "words_high", "words_low"]
     # the last two share prefix and half a digest only; a node goes on over three batches
     leaves = [(1, 5, 5, 2, 0), (1, 5, 5, 2, 9), (1, 5, 5, 4, 1), (1, 5, 5, 4, 7), (1, 5, 6, 8, 0), (2, 5, 6, 9, 0)]
     schema = pa.schema([(n, pa.int64()) for n in [*levels, "doc_id"]] + [("at", pa.int32())])
@@ -104,7 +104,7 @@ def test_tree_over_batches():
             yield made.append_column("text_key", made["doc_id"]).slice(0, 0)
 
     for size in (1, 2, 4, 6):
-        out = [r for b in substrings._walk(levels)(batches(size)) for r in b.to_pylist()]
+        out = [r for b in substrings._walk(batches(size)) for r in b.to_pylist()]
         assert [(r["doc_id"], r["at"], r["first_doc"], r["first_at"]) for r in out] == [(4, 1, 2, 0), (4, 7, 2, 0)]
     columns = [np.array([x[k] for x in leaves]) for k in range(3)]
     assert substrings.shared_depth(columns, None).tolist() == [0, 3, 3, 3, 2, 0]
