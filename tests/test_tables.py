@@ -1,6 +1,7 @@
 """Joins, upserts, sinks and sources on small frames."""
 
 from datetime import date
+from hashlib import sha256
 from itertools import product
 
 import pytest
@@ -19,7 +20,7 @@ from adloom.operators.worklists import (
 )
 from adloom.schemas import TABLES
 from adloom.session import work_folder
-from adloom.sinks.load import Audit, _near, load, load_table, register_tables, stage
+from adloom.sinks.load import Audit, _near, laid_out, load, load_table, register_tables, stage
 from adloom.sources.shards import discover_shards, read_shard_files, union_shards
 from adloom.sources.tables import read_path, read_table
 
@@ -255,6 +256,39 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
+def test_lookup_of_an_id_reads_few_files(spark, tmp_path):
+    """Every file of a split day spans all ids; the filters in them leave out the others."""
+    wide = spark.range(0, 160_000, 1, 24).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("ad_id"),
+        F.col("id").alias("clicks"),
+        F.lit(date(2024, 1, 1)).alias("date"),
+    )
+
+    def read(path, ad_id):
+        found = spark.read.parquet(path).where(F.col("ad_id") == ad_id)
+        clicks = [r["clicks"] for r in found.collect()]
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return clicks, scan.metrics().get("numOutputRows").get().value()
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    try:
+        path, bare = str(tmp_path / "filtered"), str(tmp_path / "bare")
+        load(wide, path, "insert", partition=["date"], cluster=["ad_id"])
+        laid_out(wide, ["date"], ["ad_id"]).write.partitionBy("date").parquet(bare)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("ad_id").alias("lo"), F.max("ad_id").alias("hi"))
+    kept = files.agg(F.count(F.lit(1)), F.max("lo"), F.min("hi")).first()
+    assert kept[0] >= 12
+    for k in (5, 77_777, 159_999):
+        ad_id = sha256(str(k).encode()).hexdigest()
+        assert kept[1] < ad_id < kept[2]
+        clicks, rows_read = read(path, ad_id)
+        assert clicks == [k] and rows_read < 16_000
+        assert read(bare, ad_id)[1] == 160_000
+    assert read(path, "7" * 64) == ([], 0)
+
+
 # Work lists -----------------------------------------------------------------------
 
 
