@@ -1,5 +1,6 @@
 """Joins, upserts, sinks and sources on small frames."""
 
+import re
 from datetime import date
 from hashlib import sha256
 from itertools import product
@@ -84,6 +85,22 @@ def test_broadcast_only_within_the_limit(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_facts_are_read_once_and_meet_the_largest_dimension_last(spark):
+    facts = spark.range(100).select(F.col("id").alias("a"), (F.col("id") % 7).alias("c"), F.col("id").alias("n"))
+    by_a = Dimension(spark.range(0, 100, 2).select(F.col("id").alias("a"), F.col("id").alias("wide")), ("a",), 2000)
+    by_c = Dimension(spark.range(7).select(F.col("id").alias("c"), F.col("id").alias("narrow")), ("c",), 1000)
+    joined = join_dimensions(facts, [by_a, by_c], limit=-1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert shown.count("Range (0, 100, step=1") == 1 and "Aggregate" not in shown
+        last, first = re.findall(r"Join LeftOuter, .*", shown)  # a plan is shown from its end
+        assert "_right_a" in last and "_right_c" in first
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.where("wide is null").count() == 50 and joined.where("narrow is null").count() == 0
+
+
 def test_sizes_grow_with_rows_and_text(spark):
     short, long = spark.range(10), spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
     sizes = measured_bytes(short, long, short.limit(0), short.union(short))
