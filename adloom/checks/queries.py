@@ -271,13 +271,15 @@ def stg_shard_mixed(spark, sf):
     numbers, those of even days are not."""
     root, prefix = work_folder(spark, "months"), SHARD_PREFIX
     shard = shard_of(prefix, F.col("department"), F.col("account"), "ad", F.col("date"))
-    facts = stage(ad_facts(spark, sf).where("date is not null").withColumn("shard", shard))
-    for odd, kind in ((1, "bigint"), (0, "double")):
-        rows = facts.where(F.dayofmonth("date") % 2 == odd).drop("department", "account")
-        rows = rows.withColumns({"result": F.col("result").cast(kind), "date": F.col("date").cast("timestamp")})
-        rows.hint("rebalance", "shard").write.mode("append").partitionBy("shard").parquet(root)
-    for path in folders(spark, f"{root}/shard=*"):
-        put_in_place(spark, path, path.replace("/shard=", "/"))
+    facts = ad_facts(spark, sf).where("date is not null").withColumns(
+        {"shard": shard, "odd": F.dayofmonth("date") % 2, "date": F.col("date").cast("timestamp")}
+    )
+    # gathered by shard in one shuffle; fractions stay as they are, whole numbers join them
+    facts = stage(facts.drop("department", "account"), "months", ("odd", "shard"), root)
+    whole = facts.where("odd = 1").drop("odd").withColumn("result", F.col("result").cast("bigint"))
+    whole.write.mode("append").partitionBy("shard").parquet(f"{root}/odd=0")
+    for path in folders(spark, f"{root}/odd=0/shard=*"):
+        put_in_place(spark, path, path.replace("/odd=0/shard=", "/"))
     return read_shard_files(spark, root, prefix, "ad")
 
 

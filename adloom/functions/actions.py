@@ -46,33 +46,30 @@ ACTION_STRUCT = "struct<action_type:string,value:string>"
 JSON_BLANKS = " \t\n\r"
 
 
-def parse_actions(actions: Column, dtype: T.DataType) -> Column:
-    """Array of (action_type, value); empty where the input is no list.
+def list_text(actions: Column) -> Column:
+    """Text of a JSON list with single quotes made double ones, null for any other text."""
+    bare = F.when(_in_brackets(actions), actions).otherwise(F.btrim(actions, F.lit(JSON_BLANKS)))
+    return F.when(_in_brackets(bare), F.replace(bare, F.lit("'"), F.lit('"')))
+
+
+def _in_brackets(text: Column) -> Column:
+    return text.startswith("[") & text.endswith("]")
 
-    An array column is only cast. Text is read as JSON after single quotes become
-    double ones. Three readings, each tried only where the one before gave nothing:
-    a list of objects; a list with other things among the objects, which become
-    nulls; the same with a key repeated inside an object, where the last one counts.
+
+def parse_list(text: Column) -> Column:
+    """Array of (action_type, value) of a ``list_text``; empty where there is none.
+
+    Three readings, each tried only where the one before gave nothing: a list of objects;
+    a list with other things among the objects, which become nulls; the same with a key
+    repeated inside an object, where the last one counts. ``text`` should be a plain
+    column: each reading would work it out again.
     """
     empty = F.array().cast(f"array<{ACTION_STRUCT}>")
-    if isinstance(dtype, T.ArrayType):
-        return F.coalesce(
-            F.arrays_zip(
-                actions["action_type"].alias("action_type"),
-                actions["value"].cast("array<string>").alias("value"),
-            ).cast(f"array<{ACTION_STRUCT}>"),
-            empty,
-        )
-    if not isinstance(dtype, T.StringType):
-        return empty
-
-    text = F.btrim(F.replace(actions, F.lit("'"), F.lit('"')), F.lit(JSON_BLANKS))
-    is_list = text.startswith("[") & text.endswith("]")
+    # one variant for the whole list, taken apart in one pass
     mixed = F.transform(
-        F.from_json(text, "array<variant>"),
+        F.try_variant_get(F.from_json(text, "variant"), "$", f"array<{ACTION_STRUCT}>"),
         lambda item: F.struct(
-            F.try_variant_get(item, "$.action_type", "string").alias("action_type"),
-            F.try_variant_get(item, "$.value", "string").alias("value"),
+            item["action_type"].alias("action_type"), item["value"].alias("value")
         ),
     )
     repeated = F.transform(
@@ -81,13 +78,31 @@ def parse_actions(actions: Column, dtype: T.DataType) -> Column:
     )
     return F.coalesce(
         F.when(
-            is_list,
+            text.isNotNull(),
             F.coalesce(F.from_json(text, f"array<{ACTION_STRUCT}>"), mixed, repeated),
         ),
         empty,
     )
 
 
+def parse_actions(actions: Column, dtype: T.DataType) -> Column:
+    """Array of (action_type, value); empty where the input is no list.
+
+    An array column is only cast; text is read as JSON.
+    """
+    if isinstance(dtype, T.ArrayType):
+        return F.coalesce(
+            F.arrays_zip(
+                actions["action_type"].alias("action_type"),
+                actions["value"].cast("array<string>").alias("value"),
+            ).cast(f"array<{ACTION_STRUCT}>"),
+            F.array().cast(f"array<{ACTION_STRUCT}>"),
+        )
+    if not isinstance(dtype, T.StringType):
+        return F.array().cast(f"array<{ACTION_STRUCT}>")
+    return parse_list(list_text(actions))
+
+
 def goal_action(goal: Column) -> Column:
     """Action type mapped to a goal, null where the goal is unknown."""
     mapping = F.create_map(*(F.lit(part) for part in chain.from_iterable(GOAL_ACTIONS.items())))

@@ -20,9 +20,11 @@ def number_or_zero(text: Column) -> Column:
 
 
 def count_or_zero(text: Column) -> Column:
+    """Whole number; 0 where the text is no number. A text with a point is never cast
+    whole: each such try would raise and catch an error inside Spark."""
     text = text.cast("string")
     return F.coalesce(
-        text.try_cast("bigint"),
+        F.when(~text.contains("."), text.try_cast("bigint")),
         decimal_number(text).try_cast("bigint"),
         F.lit(0).cast("bigint"),
     )

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from adloom.functions.actions import (
     MESSAGING,
     PURCHASE,
     goal_action,
     last_action_text,
+    list_text,
     parse_actions,
+    parse_list,
     result_label,
     result_position,
     result_text,
@@ -30,8 +33,14 @@ def _column_or_null(df: DataFrame, name: str) -> Column:
 
 
 def with_actions(df: DataFrame) -> DataFrame:
-    """Replace ``actions`` by its parsed array, parsed once for all later uses."""
-    return df.withColumn("actions", parse_actions(F.col("actions"), df.schema["actions"].dataType))
+    """Replace ``actions`` by its parsed array, parsed once for all later uses. Text is made
+    ready for the parser as a column of its own, once for all of its readings."""
+    kind = df.schema["actions"].dataType
+    if isinstance(kind, StringType):
+        return df.withColumn("actions", list_text(F.col("actions"))).withColumn(
+            "actions", parse_list(F.col("actions"))
+        )
+    return df.withColumn("actions", parse_actions(F.col("actions"), kind))
 
 
 def with_result(df: DataFrame, level: str) -> DataFrame:

@@ -39,11 +39,18 @@ class Audit:
     rows_written: int = 0
 
 
-def stage(df: DataFrame, purpose: str = "stage") -> DataFrame:
-    """Write rows once to the shared work folder and read them back: later steps do
-    not recompute them, and a lost executor costs one read of the staged files."""
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+def stage(
+    df: DataFrame, purpose: str = "stage", partition: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Write rows once to the shared work folder, or to ``path``, and read them back: later
+    steps do not recompute them, and a lost executor costs one read of the staged files.
+    With ``partition`` they lie gathered in folders, so that a step that needs some of
+    these reads no others, and shuffles no rows to gather them again."""
+    path = path or work_folder(df.sparkSession, purpose)
+    if partition:
+        laid_out(df, partition, ()).write.partitionBy(*partition).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

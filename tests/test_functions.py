@@ -276,3 +276,26 @@ def test_days_between(spark):
     days = [r[0].day for r in df.select(days_between(F.col("lo"), F.col("hi"))).collect()]
     assert days == [28, 29, 1]
     assert one_column(spark, ["2024-01-01\n"], to_day) == [None]
+
+
+def test_list_text_is_made_once_for_all_readings(spark):
+    df = spark.createDataFrame([("[{'action_type': 'lead', 'value': '1'}, 7]",)], "actions string")
+    parsed = with_actions(df)
+    assert [tuple(a) for a in parsed.first().actions] == [("lead", "1"), (None, None)]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(") == 1 and plan.count("try_variant_get(") == 1
+
+
+def test_odd_members_and_ends_of_lists(spark):
+    cases = {
+        ' \t[{"action_type": "a", "value": 1.50}]\n\r': [("a", "1.5")],
+        '[7, {"value": {"x": [1, null]}, "action_type": true}]': [(None, None), ("true", '{"x":[1,null]}')],
+        '[null, [{"value": 1}], {"Value": 2}, {"value": "q"}]': [(None, None)] * 3 + [(None, "q")],
+        '[7, {"value": 1, "value": 2}]': [(None, None), (None, "2")],
+        '[{"value": 1}]\u0085': [],
+        "[": [],
+        "]": [],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, actions string")
+    parsed = with_actions(df).orderBy("i").collect()
+    assert [[tuple(a) for a in r.actions] for r in parsed] == list(cases.values())
