@@ -8,7 +8,8 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.operators.dimensions import Dimension, all_small, join_dimensions, measured
+from adloom.operators import dimensions as joins
+from adloom.operators.dimensions import Dimension, all_small, grid_sides, join_dimensions, measured
 from adloom.operators.sizes import broadcast_if_small, measured_bytes
 from adloom.operators.upsert import key_set, matching_count, matching_keys, upsert
 from adloom.operators.worklists import (
@@ -101,6 +102,40 @@ def test_facts_are_read_once_and_meet_the_largest_dimension_last(spark):
     assert joined.where("wide is null").count() == 50 and joined.where("narrow is null").count() == 0
 
 
+def test_large_dimensions_are_joined_by_one_shuffle_of_the_facts(spark, rows, monkeypatch):
+    text = [F.col("id").cast("string"), (F.col("id") % 7).cast("string"), (F.col("id") % 3).cast("string")]
+    keys = [F.when(F.col("id") % 5 != n, key).alias(name) for n, (key, name) in enumerate(zip(text, "abc"))]
+    facts = spark.range(400).select(*keys, (F.col("id") % 50).alias("n"))
+    dims = [
+        Dimension(facts.select(name).distinct().withColumn(f"of_{name}", F.upper(name)), (name,), size)
+        for name, size in (("a", 3000), ("b", 200), ("c", 100))
+    ]
+    dims[1] = Dimension(dims[1].frame.unionAll(dims[1].frame), ("b",), 200)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_dimensions(facts, dims, limit=-1)
+        assert plan(joined).count("shufflepartitionidpassthrough") == 4  # of facts and dimensions
+        assert "hashpartitioning(coalesce" not in plan(joined) and plan(joined).count("SortMergeJoin") == 3
+        monkeypatch.setattr(joins, "MOST_COPIES", 0)
+        one_by_one = join_dimensions(facts, dims, limit=-1)
+        assert "passthrough" not in plan(one_by_one)
+        names = ("a", "b", "c", "n", "of_a", "of_b", "of_c")
+        keyed = [r for r in rows(one_by_one, *names) if None not in r[:3]]
+        got = rows(joined, *names)
+        assert [r for r in got if None not in r[:3]] == keyed
+        # a fact without a key is there too, and matches nothing
+        assert all((r[k] is None) == (r[k + 4] is None) for r in got for k in range(3))
+        assert len(got) == sum(1 if i % 5 == 1 else 2 for i in range(400))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_grids_cut_the_largest_dimension_most():
+    assert grid_sides([100, 100], 200) == [14, 14]
+    assert grid_sides([1, 1000], 8) == [1, 8]
+    assert grid_sides([5, 5, 5], 1) == [1, 1, 1]
+
+
 def test_sizes_grow_with_rows_and_text(spark):
     short, long = spark.range(10), spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
     sizes = measured_bytes(short, long, short.limit(0), short.union(short))
