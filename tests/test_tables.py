@@ -116,7 +116,7 @@ def test_large_dimensions_are_joined_by_one_shuffle_of_the_facts(spark, rows, mo
         joined = join_dimensions(facts, dims, limit=-1)
         assert plan(joined).count("shufflepartitionidpassthrough") == 4  # of facts and dimensions
         assert "hashpartitioning(coalesce" not in plan(joined) and plan(joined).count("SortMergeJoin") == 3
-        monkeypatch.setattr(joins, "MOST_COPIES", 0)
+        monkeypatch.setattr(joins, "MOST_CELLS", 1)
         one_by_one = join_dimensions(facts, dims, limit=-1)
         assert "passthrough" not in plan(one_by_one)
         names = ("a", "b", "c", "n", "of_a", "of_b", "of_c")
