@@ -1,11 +1,14 @@
 """Tables by name, versions of marts, counted loads, and runs of landed answers."""
 
 import json
+import time
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 
-from adloom.plans.marts import write_mart
+from adloom.plans import marts
+from adloom.plans.marts import day_steps, write_mart
 from adloom.plans.pipelines import Job, run_campaign
 from adloom.schemas import TABLES
 from adloom.sinks import load as loading
@@ -92,6 +95,45 @@ def test_a_failed_rebuild_leaves_the_mart(spark, tmp_path, database, by_name):
     assert len(list((tmp_path / "w").iterdir())) == (2 if by_name else 1)
 
 
+def days_of(spark, *counts):
+    """So many rows on each day from 2024-01-01, the first count without a date."""
+    days = [None, *(date(2024, 1, n) for n in range(1, len(counts)))]
+    data = [(d, "a", str(i)) for d, n in zip(days, counts) for i in range(n)]
+    return spark.createDataFrame(data, "date date, account_id string, campaign_id string")
+
+
+def test_a_large_mart_is_written_by_runs_of_days(spark, tmp_path, monkeypatch):
+    rows = days_of(spark, 2, 3, 4, 1, 5, 2)
+    assert day_steps(rows) == [] == day_steps(rows.limit(0))
+    monkeypatch.setattr(marts, "STEP_ROWS", 5)
+    parts = [rows.where(step) for step in day_steps(rows)]
+    assert [part.count() for part in parts] == [5, 5, 5, 2]
+    writes, written = [], loading.write
+    monkeypatch.setattr(loading, "write", lambda *args: writes.append(written(*args)) or writes[-1])
+    assert write_mart(rows, str(tmp_path), "campaign", days=rows) == 17 and writes == [5, 5, 5, 2]
+    read = spark.read.parquet(str(tmp_path / "campaign_performance"))
+    assert sorted(map(str, read.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+    monkeypatch.setattr(marts, "MOST_STEPS", 2)
+    assert [rows.where(step).count() for step in day_steps(rows)] == [9, 8]
+    assert [n.name for n in tmp_path.iterdir()] == ["campaign_performance"]
+
+
+def test_shuffle_files_and_staged_rows_go_once_used(spark, tmp_path):
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f.name for local in disk.localDirsString() for f in Path(local).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    with loading.staged_for(days_of(spark, 1, 2).groupBy("date").count(), "t") as staged:
+        files = staged.inputFiles()
+        assert staged.count() == 2 and files
+    for _ in range(100):  # files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and not Path(files[0].removeprefix("file:")).exists()
+
+
 def test_rows_that_get_lost_fail_the_load(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(loading, "write", lambda *args: 1)
     with pytest.raises(RuntimeError, match="2 rows in"):
